@@ -94,7 +94,7 @@ def raw_view(spark: SparkSession, path: str) -> DataFrame:
         F.when(F.col("dunned"), 1 + line % 4).alias("dunning_level"),
         F.when(F.col("dunned"), F.col("ship").cast("string")).alias("last_dunned_date"),
         F.when(F.col("dunned"), (1 + order % 3).cast("int")).alias("dunning_count"),
-        F.when(F.col("promised"), amount * 0.5).alias("fin_promised_amt"),
+        F.when(F.col("promised"), F.floor(amount) * 0.5).alias("fin_promised_amt"),
         F.when(F.col("promised"), line % 4).alias("fin_p2p_state"),
         F.when(F.col("promised"), _compact(F.col("ship"))).alias("promise_dt"),
         letter(cust % 6).alias("risk_class"),
@@ -143,7 +143,7 @@ def raw_promises(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.col("l_returnflag") == "A").select(
         _padded("o_custkey").alias("FIN_CUSTOMER"),
         F.concat(F.lit("0000"), _padded("o_orderkey")).alias("FIN_INVOICE_KEY"),
-        (F.col("l_extendedprice") * 0.5).alias("FIN_PROMISED_AMT"),
+        (F.floor("l_extendedprice") * 0.5).alias("FIN_PROMISED_AMT"),
         (F.col("l_linenumber") % 4).cast("string").alias("FIN_P2P_STATE"),
         _compact(F.col("ship")).alias("FIN_P2P_DATE"),
     )

@@ -82,7 +82,7 @@ SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS customer_id,
   CASE WHEN l_returnflag = 'R' THEN CAST(1 + l_linenumber % 4 AS INTEGER) END AS dunning_level,
   CASE WHEN l_returnflag = 'R' THEN CAST(ship AS VARCHAR) END AS last_dunned_date,
   CASE WHEN l_returnflag = 'R' THEN CAST(1 + o_orderkey % 3 AS INTEGER) END AS dunning_count,
-  CASE WHEN l_returnflag = 'A' THEN l_extendedprice * 0.5 END AS fin_promised_amt,
+  CASE WHEN l_returnflag = 'A' THEN floor(l_extendedprice) * 0.5 END AS fin_promised_amt,
   CASE WHEN l_returnflag = 'A' THEN CAST(l_linenumber % 4 AS INTEGER) END AS fin_p2p_state,
   CASE WHEN l_returnflag = 'A' THEN {compact('ship')} END AS promise_dt,
   chr(CAST(65 + o_custkey % 6 AS INTEGER)) AS risk_class, c_mktsegment AS credit_group,
@@ -161,7 +161,7 @@ FROM ol WHERE l_returnflag = 'R'
 view("promises", "ol", f"""
 SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS customer_id,
   lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS invoice_id,
-  l_extendedprice * 0.5 AS promised_amount, CAST(l_linenumber % 4 AS INTEGER) AS promise_state,
+  floor(l_extendedprice) * 0.5 AS promised_amount, CAST(l_linenumber % 4 AS INTEGER) AS promise_state,
   ship AS promise_date
 FROM ol WHERE l_returnflag = 'A'
 """)
@@ -295,9 +295,9 @@ def _w(*stems: str) -> list[str]:
 
 
 MONEY_COLS = ["total_outstanding", "amt_30_plus", "amt_60_plus", "amt_90_plus",
-              "total_open_amount", "credit_limit", "open_dispute_amount", "avg_invoice_size"]
+              "total_open_amount", "credit_limit", "open_dispute_amount"]
 RATIO_COLS = ["avg_dpd", "avg_invoice_age", "pct_30_plus", "pct_60_plus", "pct_90_plus",
-              "credit_utilization"]
+              "credit_utilization", "avg_invoice_size"]
 EXPOSURE_SPEC = " ".join([f"{c}:4" for c in MONEY_COLS] + [f"{c}:6" for c in RATIO_COLS]
                          + ["snapshot_date:d"])
 BEHAVIOUR_SPEC = " ".join(
@@ -306,7 +306,7 @@ BEHAVIOUR_SPEC = " ".join(
 ) + " snapshot_date:d"
 DUNNING_SPEC = "avg_dunning_level:6 high_dunning_ratio:6 snapshot_date:d"
 PROMISE_SPEC = " ".join(
-    ["broken_ratio:6", "kept_ratio:6", "total_promised_amount:4", "avg_promised_amount:4"]
+    ["broken_ratio:6", "kept_ratio:6", "total_promised_amount:4", "avg_promised_amount:6"]
     + [f"{c}:4" for c in _w("promised_amt")]) + " snapshot_date:d"
 LABEL_SPEC = "collected_30d:4 collection_ratio:6 snapshot_date:d"
 
