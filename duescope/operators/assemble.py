@@ -50,7 +50,7 @@ def training_table(invoices: DataFrame, blocks: list[tuple[DataFrame, feat.Histo
                    cfg: PanelConfig, calendar: cal.Calendar | None = None) -> DataFrame:
     """Labelled panel: customers with positive exposure at each calendar date.
 
-    `invoices` feeds every block; materialise it first when it is expensive to compute.
+    `invoices` feeds every block, so pass a stored table when there are blocks to attach.
     """
     calendar = calendar or cal.calendar_for(invoices, cfg)
     out = feat.exposure_on_calendar(invoices, cfg, calendar, label=True)

@@ -44,10 +44,13 @@ class Calendar:
         return F.when(same >= day, same).otherwise(following)
 
 
-def calendar_for(invoices: DataFrame, cfg: PanelConfig) -> Calendar:
+def calendar_for(items: DataFrame, cfg: PanelConfig) -> Calendar:
     """From the earliest baseline, not before the lookback, to the anchor or the last
-    date whose label window is complete."""
-    earliest = invoices.agg(F.min("baseline_date").alias("d"))
+    date whose label window is complete.
+
+    Lines and invoices have the same earliest baseline; lines need no roll-up for it.
+    """
+    earliest = items.agg(F.min("baseline_date").alias("d"))
     if cfg.lookback_days is not None:
         floor = F.date_sub(F.lit(cfg.anchor), cfg.lookback_days)
         earliest = earliest.select(F.greatest("d", floor).alias("d"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from duescope.operators.ordered import running_totals
+from duescope.storage import stored
 
 POOLED = "POOLED"
 TINY = 1e-9
@@ -25,10 +26,10 @@ def with_pooled(df: DataFrame, group: str, name: str = "slice") -> DataFrame:
 
 def score_points(df: DataFrame, groups: list[str]) -> DataFrame:
     """One row per distinct score: positives and negatives at it (`at_*`) and at or above it."""
-    counts = df.groupBy(*groups, "score").agg(
+    counts = stored(df.groupBy(*groups, "score").agg(
         F.count_if(F.col("label") == 1).alias("at_pos"),
         F.count_if(F.col("label") == 0).alias("at_neg"),
-    )
+    ))
     ranked = running_totals(counts, groups, "score", ["at_pos", "at_neg"])
     totals = {"n_pos": F.sum("at_pos"), "n_neg": F.sum("at_neg")}
     if groups:

@@ -213,15 +213,22 @@ def history_on_calendar(events: DataFrame, block: HistoryBlock, calendar: Calend
     booked = seen.groupBy(KEY).agg(
         *[a.over(enters) for a in block.lifetime], *block.window_aggregates()
     )
-    starts = rows.groupBy("customer_id").agg(F.min(block.date).alias("_start"))
-    dense = spread(starts, F.col("_start"), F.col("_last"), calendar).select(*KEY)
-    so_far = (
-        Window.partitionBy("customer_id").orderBy("snapshot_date")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    timeline = Window.partitionBy("customer_id").orderBy("snapshot_date")
+    so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     merge = {"sum": F.sum, "max": F.max}
-    totals = {a.name: merge[a.kind](a.name).over(so_far) for a in block.lifetime}
-    return block.finished(dense.join(booked, KEY, "left").withColumns(totals))
+    totals = booked.withColumns({
+        **{a.name: merge[a.kind](a.name).over(so_far) for a in block.lifetime},
+        "_next": F.lead("snapshot_date").over(timeline),
+    }).withColumnRenamed("snapshot_date", "_own")
+    until = F.coalesce(F.date_sub("_next", 1), F.col("_last"))
+    dense = spread(totals, F.col("_own"), until, calendar)
+    # dates between two booked ones repeat the totals; nothing lies in their windows
+    own = _snapshot() == F.col("_own")
+    recent = {
+        f"{a.name}_{w}": F.when(own, F.col(f"{a.name}_{w}"))
+        for w in block.windows for a in block.windowed
+    }
+    return block.finished(dense.withColumns(recent))
 
 
 def history_at_date(events: DataFrame, block: HistoryBlock, at: Column,

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from duescope.storage import stored
+
 SLICES = 64
 _ALL = "_all"
 
@@ -25,7 +27,8 @@ def running_totals(points: DataFrame, groups: list[str], order: str, sums: list[
                    slices: int = SLICES) -> DataFrame:
     """Adds `cum_<name>`, the total of `name` over rows with order <= own, per group.
 
-    `points` has one row per (groups, order); `order` is numeric or a date.
+    `points` has one row per (groups, order); `order` is numeric or a date. It is read
+    three times, so pass a stored table when it is expensive.
     """
     points, keys = _grouped(points, groups)
     cuts = points.agg(
@@ -63,7 +66,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, wanted: dict[s
                     slices: int = SLICES) -> DataFrame:
     """Linearly interpolated quantiles per group, one output column per entry of `wanted`."""
     keyed, keys = _grouped(df, groups)
-    counts = value_counts(keyed, keys, value)
+    counts = stored(value_counts(keyed, keys, value))
     ranked = running_totals(counts, keys, value, ["n"], slices)
     sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_size"))
     ranked = ranked.join(sizes, keys)
@@ -86,7 +89,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, wanted: dict[s
 
 def empirical_cdf(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Distinct values with the share of rows at or below them."""
-    counts = value_counts(df, groups, value)
+    counts = stored(value_counts(df, groups, value))
     ranked = running_totals(counts, groups, value, ["n"])
     if not groups:
         size = counts.agg(F.sum("n")).scalar()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duescope.operators.ordered import date_at_quantile, running_totals
+from duescope.storage import stored
 
 DATE = "snapshot_date"
 
@@ -98,18 +99,19 @@ def last_rows_split(df: DataFrame, tie: Column, share: float = 0.15, at_least: i
     split are ranked, by running counts over their tie keys.
     """
     keyed = df.withColumn("_tie", tie)
-    histogram = keyed.groupBy(date).agg(F.count("*").alias("n"))
+    histogram = stored(keyed.groupBy(date).agg(F.count("*").alias("n")))
     size = histogram.agg(F.sum("n")).scalar()
     wanted = F.greatest(F.floor(size * F.lit(share)), F.lit(at_least))
     later = running_totals(histogram, [], date, ["n"]).withColumns({
         "after": size - F.col("cum_n"), "wanted": wanted})
     split = later.filter(
         (F.col("after") < F.col("wanted")) & (F.col("wanted") <= F.col("after") + F.col("n"))
-    ).agg(
-        F.max(date).alias("d"), F.max(F.col("wanted") - F.col("after")).alias("take"),
-        F.max("n").alias("n"))
-    day, take, here = (split.select(c).scalar() for c in ("d", "take", "n"))
-    ties = keyed.filter(F.col(date) == day).groupBy("_tie").agg(F.count("*").alias("n"))
+    ).agg(F.max(F.struct(
+        F.col(date).alias("d"), (F.col("wanted") - F.col("after")).alias("take"), "n")))
+    found = split.scalar()
+    day, take, here = found["d"], found["take"], found["n"]
+    ties = stored(
+        keyed.filter(F.col(date) == day).groupBy("_tie").agg(F.count("*").alias("n")))
     ranked = running_totals(ties, [], "_tie", ["n"])
     first_in = ranked.filter(F.col("cum_n") > here - take).agg(F.min("_tie")).scalar()
     # fewer rows than wanted: no date is split and everything is validation

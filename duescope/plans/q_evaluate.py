@@ -13,6 +13,7 @@ from duescope.plans import fixtures as fx
 from duescope.plans import sqlviews as sv
 from duescope.plans.q_features import labelled
 from duescope.plans.registry import query
+from duescope.storage import stored
 
 sv.view("lab", "expo label", """
 SELECT e.customer_id, e.snapshot_date, e.country, total_outstanding,
@@ -45,6 +46,11 @@ _RANKING = """sum(at_pos / n_pos * tp / (tp + fp)) AS pr_auc,
   sum(at_pos * (n_neg - fp + at_neg / 2.0)) / max(n_pos * n_neg) AS roc_auc"""
 
 
+def scored_table(spark, path):
+    """The scored rows as a table, for reports that read them more than once."""
+    return stored(scored(spark, path))
+
+
 def scored(spark, path):
     number = F.col("customer_id").cast("bigint")
     return labelled(spark, path).select(
@@ -175,7 +181,7 @@ SELECT r.*, {_RATES_SQL}, (SELECT sum(at_pos / n_pos * tp / (tp + fp)) FROM pts)
   (SELECT sum(at_pos * (n_neg - fp + at_neg / 2.0)) / max(n_pos * n_neg) FROM pts) AS roc_auc
 FROM ({_REPORT_SQL.format(keys='', t='0.5', source='scored')}) r""")
 def _(spark, path):
-    return ev.operating_report(scored(spark, path), [], F.lit(0.5))
+    return ev.operating_report(scored_table(spark, path), [], F.lit(0.5))
 
 
 sv.view("slice_t", "pts_slice", """
@@ -190,7 +196,7 @@ FROM (SELECT *, {_RATES_SQL} FROM (
   {_REPORT_SQL.format(keys='slice,', t='threshold', source='(SELECT * FROM sliced JOIN slice_t USING (slice))')}))
 JOIN (SELECT slice, {_RANKING} FROM pts_slice GROUP BY slice) USING (slice)""")
 def _(spark, path):
-    rows = scored(spark, path)
+    rows = scored_table(spark, path)
     points = ev.score_points(ev.with_pooled(rows, "country"), ["slice"])
     thresholds = ev.threshold_at_recall(points, ["slice"], 0.8)
     return ev.slice_report(rows, thresholds, "country")
@@ -224,7 +230,7 @@ SELECT recall, fn_rate, fn, tp, precision, f3, (SELECT recall FROM (
   {_TOP_SQL.format(shares="SELECT 0.2::DOUBLE AS share")})) AS recall_at_top_20
 FROM (SELECT r.*, {_RATES_SQL} FROM ({_REPORT_SQL.format(keys='', t='0.5', source='scored')}) r)""")
 def _(spark, path):
-    rows = scored(spark, path)
+    rows = scored_table(spark, path)
     top = ev.top_share_recall(rows, [0.2]).select("recall").scalar()
     return ev.operating_report(rows, [], F.lit(0.5)).select(
         "recall", "fn_rate", "fn", "tp", "precision", "f3").withColumn("recall_at_top_20", top)
@@ -234,7 +240,7 @@ def _(spark, path):
 SELECT count(pr_auc) AS groups_used, avg(pr_auc) AS score FROM (
   SELECT country, {_RANKING} FROM pts_country WHERE n_pos > 0 AND n_neg > 0 GROUP BY country)""")
 def _(spark, path):
-    return ev.macro_average_precision(scored(spark, path), "country")
+    return ev.macro_average_precision(scored_table(spark, path), "country")
 
 
 @query("e12_country_thresholds", uses="pts_country pts scored", spec="threshold:6 pool_threshold:6",
@@ -247,7 +253,7 @@ JOIN (SELECT country, score AS own FROM pts_country WHERE tp / n_pos >= 0.8
 CROSS JOIN (SELECT score AS shared FROM pts WHERE tp / n_pos >= 0.8
   ORDER BY tp / (tp + fp) DESC, score LIMIT 1)""")
 def _(spark, path):
-    return ev.thresholds_with_fallback(scored(spark, path), "country", 0.8, min_positives=210)
+    return ev.thresholds_with_fallback(scored_table(spark, path), "country", 0.8, min_positives=210)
 
 
 @query("e14_roc_points", uses="pts", spec="threshold:4 fpr:9 tpr:9", sql="""
@@ -297,7 +303,7 @@ _CUTS = """CASE substr(country, 1, 1) WHEN 'A' THEN 0.35 ELSE 0.4 END AS low_cut
 SELECT customer_id, snapshot_date, score, CASE WHEN score <= low_cut THEN 'Low'
   WHEN score <= high_cut THEN 'Medium' ELSE 'High' END AS band FROM (SELECT *, {_CUTS} FROM scored)""")
 def _(spark, path):
-    rows = scored(spark, path)
+    rows = scored_table(spark, path)
     first = F.substring("country", 1, 1) == "A"
     registry = rows.select("country").distinct().withColumns({
         "low_cut": F.when(first, 0.35).otherwise(0.4),
@@ -367,7 +373,7 @@ JOIN (SELECT cluster, score AS threshold FROM (
   WHERE tp / np >= 0.8
   QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY tp / (tp + fp) DESC, score) = 1) pool USING (cluster)""")
 def _(spark, path):
-    return score.routing_map(scored(spark, path), 0.8, model_prefix="risk_")
+    return score.routing_map(scored_table(spark, path), 0.8, model_prefix="risk_")
 
 
 _TERTILES = """
@@ -379,7 +385,7 @@ FROM (SELECT customer_id, snapshot_date, score AS s,
 
 @query("w13_score_tertiles", uses="scored", spec="snapshot_date:d", sql=_TERTILES)
 def _(spark, path):
-    return score.with_tertiles(scored(spark, path), "country", "score").select(
+    return score.with_tertiles(scored_table(spark, path), "country", "score").select(
         "customer_id", "snapshot_date", "risk_band")
 
 
@@ -397,7 +403,7 @@ SELECT customer_id, snapshot_date, CASE WHEN snapshot_date > {_cut('t', 0.8)} TH
   WHEN snapshot_date > {_cut('v', 0.85, f"(SELECT * FROM lab WHERE snapshot_date <= {_cut('t', 0.8)})")} THEN 'val'
   ELSE 'train' END AS role FROM lab""")
 def _(spark, path):
-    return splits.quantile_split(labelled(spark, path)).select(
+    return splits.quantile_split(stored(labelled(spark, path))).select(
         "customer_id", "snapshot_date", "role")
 
 
@@ -427,7 +433,7 @@ SELECT fold, customer_id, snapshot_date, role FROM folds WHERE fold IN (
   SELECT fold FROM folds GROUP BY fold HAVING count(*) FILTER (role = 'val') > 0
     AND count(DISTINCT target) FILTER (role = 'train') > 1)""")
 def _(spark, path):
-    return splits.walk_forward(labelled(spark, path)).select(
+    return splits.walk_forward(stored(labelled(spark, path))).select(
         "fold", "customer_id", "snapshot_date", "role")
 
 
@@ -436,7 +442,7 @@ SELECT fold, role, country, count(*) AS n, count(*) FILTER (target = 1) AS posit
   CASE WHEN count(*) < 30 OR count(*) FILTER (target = 1) < 100 THEN 1 ELSE 0 END AS sparse
 FROM folds GROUP BY ALL""")
 def _(spark, path):
-    return splits.fold_diagnostics(splits.walk_forward(labelled(spark, path)))
+    return splits.fold_diagnostics(splits.walk_forward(stored(labelled(spark, path))))
 
 
 @query("w11_last_rows_split", uses="lab", spec="snapshot_date:d", sql="""
@@ -444,7 +450,7 @@ SELECT customer_id, snapshot_date, CASE WHEN row_number() OVER (ORDER BY snapsho
     customer_id DESC) <= greatest(floor((SELECT count(*) FROM lab) * 0.15), 20)
   THEN 'val' ELSE 'train' END AS role FROM lab""")
 def _(spark, path):
-    rows = labelled(spark, path)
+    rows = stored(labelled(spark, path))
     return splits.last_rows_split(rows, F.col("customer_id").cast("bigint")).select(
         "customer_id", "snapshot_date", "role")
 
@@ -453,7 +459,7 @@ def _(spark, path):
 SELECT customer_id, snapshot_date, CASE WHEN snapshot_date > {_cut('v', 0.85)} THEN 'val'
   ELSE 'train' END AS role FROM lab""")
 def _(spark, path):
-    rows = labelled(spark, path)
+    rows = stored(labelled(spark, path))
     return splits.guarded_val_split(rows, F.col("customer_id").cast("bigint")).select(
         "customer_id", "snapshot_date", "role")
 
@@ -463,5 +469,5 @@ SELECT s.customer_id, s.snapshot_date, m.held_out,
   CASE WHEN s.country = m.held_out THEN 'test' ELSE 'train' END AS role
 FROM scored s JOIN (SELECT DISTINCT cluster, country AS held_out FROM scored) m USING (cluster)""")
 def _(spark, path):
-    return splits.leave_one_out(scored(spark, path)).select(
+    return splits.leave_one_out(scored_table(spark, path)).select(
         "customer_id", "snapshot_date", "held_out", "role")

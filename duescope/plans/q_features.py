@@ -8,13 +8,14 @@ from duescope.operators import assemble, calendar, features, label
 from duescope.plans import fixtures as fx
 from duescope.plans import sqlviews as sv
 from duescope.plans.registry import query
+from duescope.storage import stored
 
 CFG = fx.CFG
 
 
 def panel_of(spark, path):
-    inv = fx.invoices(spark, path)
-    return inv, calendar.calendar_for(inv, CFG)
+    lines = fx.items(spark, path)
+    return fx.grain.invoices(lines), calendar.calendar_for(lines, CFG)
 
 
 @query("flagship_labelled_panel", uses="expo label",
@@ -206,12 +207,13 @@ def _(spark, path):
 
 def labelled(spark, path, cfg=CFG):
     """Exposure, label and target without history blocks: what most reports need."""
-    inv = fx.invoices(spark, path, cfg)
-    return assemble.training_table(inv, [], cfg)
+    lines = fx.items(spark, path, cfg)
+    return assemble.training_table(
+        fx.grain.invoices(lines), [], cfg, calendar.calendar_for(lines, cfg))
 
 
 def training(spark, path, cfg=CFG):
-    inv = fx.invoices(spark, path, cfg)
+    inv = stored(fx.invoices(spark, path, cfg))
     blocks = assemble.event_blocks(
         inv, fx.letters(spark, path), fx.promises(spark, path), cfg
     )
@@ -226,7 +228,7 @@ def _(spark, path):
 @query("j05_training_table_view", uses="train_view", spec=sv.TRAIN_SPEC,
        sql="SELECT * FROM train_view")
 def _(spark, path):
-    inv = fx.invoices(spark, path)
+    inv = stored(fx.invoices(spark, path))
     return assemble.training_table(inv, assemble.view_blocks(inv, CFG), CFG)
 
 
@@ -265,7 +267,7 @@ SERVE_SPEC = sv.merged_spec(sv.EXPOSURE_SPEC, sv.BEHAVIOUR_SPEC, sv.DUNNING_SPEC
 def serving(spark, path, **kw):
     cfg = CFG.with_(history_days=730)
     lines = fx.items(spark, path, cfg, mode="serve")
-    inv = fx.grain.invoices(lines)
+    inv = stored(fx.grain.invoices(lines))
     at = F.lit(fx.ANCHOR)
     spine = calendar.open_customers(lines, at)
     return assemble.serving_table(inv, spine, assemble.view_blocks(inv, cfg), cfg, at, **kw)

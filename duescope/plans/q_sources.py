@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from duescope.functions import bands, columns, dates, encoding, weights
@@ -15,6 +11,7 @@ from duescope.plans import sqlviews as sv
 from duescope.plans.q_features import labelled, serving, training
 from duescope.plans.registry import query
 from duescope.sources import events, lineitems, sinks, view
+from duescope.storage import new_path, stored
 
 CFG = fx.CFG
 A = sv.ANCHOR
@@ -127,18 +124,12 @@ def _(spark, path):
 # sinks write the given tables' derivations and read them back
 
 
-def _scratch(spark) -> str:
-    """A new folder on the storage shared by all executors."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return os.path.join(root, f"duescope-{uuid.uuid4().hex}")
-
-
 @query("s12_partition_overwrite_sink", uses="items", spec="invoice_amount:2", sql="""
 SELECT customer_id, invoice_id, line_item, invoice_amount, country FROM items""")
 def _(spark, path):
     rows = fx.items(spark, path).select(
         "customer_id", "invoice_id", "line_item", "invoice_amount", "country")
-    target = _scratch(spark)
+    target = new_path(spark, "sink")
     for _run in range(2):  # a re-run replaces partitions instead of duplicating rows
         sinks.overwrite_partitions(rows, target, ["country"])
     return spark.read.schema(rows.schema).parquet(target)
@@ -149,7 +140,7 @@ SELECT customer_id, invoice_id, line_item, invoice_amount, source FROM items""")
 def _(spark, path):
     rows = fx.items(spark, path).select(
         "customer_id", "invoice_id", "line_item", "invoice_amount", "source")
-    target = _scratch(spark)
+    target = new_path(spark, "sink")
     for i, source in enumerate((lineitems.OPEN, lineitems.CLEARED)):
         sinks.append_or_create(rows.filter(F.col("source") == source), target, first=i == 0)
     return spark.read.parquet(target)
@@ -168,7 +159,7 @@ SELECT customer_id, invoice_id, round(invoice_amount, 2) AS invoice_amount FROM
 def _(spark, path):
     rows = fx.invoices(spark, path).select(
         "customer_id", "invoice_id", F.round("invoice_amount", 2).alias("invoice_amount"))
-    target = _scratch(spark)
+    target = new_path(spark, "sink")
     sinks.write_csv(rows, target)
     return spark.read.option("header", "true").schema(rows.schema).csv(target)
 
