@@ -30,6 +30,7 @@ def running_totals(points: DataFrame, groups: list[str], order: str, sums: list[
     `points` has one row per (groups, order); `order` is numeric or a date. It is read
     three times, so pass a stored table when it is expensive.
     """
+    extra = [] if groups else [_ALL]
     points, keys = _grouped(points, groups)
     cuts = points.agg(
         F.percentile_approx(order, [i / slices for i in range(1, slices)], 10000).alias("c")
@@ -52,7 +53,7 @@ def running_totals(points: DataFrame, groups: list[str], order: str, sums: list[
     shifted = local.join(shifts, place).withColumns(
         {f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_shift_{s}") for s in sums}
     )
-    return shifted.drop("_slice", _ALL, *[f"_shift_{s}" for s in sums])
+    return shifted.drop("_slice", *extra, *[f"_shift_{s}" for s in sums])
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:

@@ -262,7 +262,7 @@ def _(spark, path):
     return ev.roc_points(ev.score_points(scored(spark, path), []), [])
 
 
-@query("e15_calibration_bins", uses="scored", spec="mean_score:6 positive_rate:9", sql="""
+@query("e15_calibration_bins", uses="scored", spec="mean_score:9 positive_rate:9", sql="""
 SELECT CAST(least(floor(score * 10), 9) AS INTEGER) AS bin, count(*) AS n, avg(score) AS mean_score,
   avg(label) AS positive_rate FROM scored GROUP BY 1""")
 def _(spark, path):

@@ -46,7 +46,7 @@ def presented_sql(sql: str, spec: dict[str, str]) -> str:
         for name, kind in spec.items()
     ]
     if not parts:
-        return sql
+        return f"SELECT * FROM (\n{sql}\n) AS presented"
     return f"SELECT * REPLACE ({', '.join(parts)}) FROM (\n{sql}\n) AS presented"
 
 
