@@ -524,3 +524,43 @@ def _(spark, path):
     stats = train.agg(*[F.corr(F.col(n).cast("double"), F.col("target")).alias(n) for n in names])
     long = stats.unpivot([], names, "feature", "correlation")
     return long.withColumn("direction", direction_prior(F.col("feature")))
+
+
+def _in_new_schema(spark):
+    """A schema of its own whose tables live on the shared storage."""
+    path = new_path(spark, "schema")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{path}'")
+    return name
+
+
+_INV3 = "customer_id, invoice_id, round(invoice_amount, 2) AS invoice_amount"
+
+
+@query("s11_table_overwrite_sink", uses="inv", spec="invoice_amount:2",
+       sql=f"SELECT {_INV3} FROM inv")
+def _(spark, path):
+    schema = _in_new_schema(spark)
+    rows = stored(fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount"))
+    table = f"{schema}.invoices"
+    sinks.overwrite_table(rows.drop("invoice_amount"), table)
+    sinks.overwrite_table(rows, table)  # replaces data and schema
+    return spark.table(table)
+
+
+@query("s13_external_table", uses="inv", spec="invoice_amount:2", sql=f"SELECT {_INV3} FROM inv")
+def _(spark, path):
+    schema, location = _in_new_schema(spark), new_path(spark, "external")
+    fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount").write.parquet(
+        location)
+    sinks.register_external(spark, f"{schema}.invoices", location)
+    return spark.table(f"{schema}.invoices")
+
+
+@query("s14_staging_and_production", uses="inv", spec="invoice_amount:2",
+       sql=f"SELECT {_INV3} FROM inv")
+def _(spark, path):
+    schema = _in_new_schema(spark)
+    rows = fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount")
+    written = sinks.publish(rows, f"{schema}.staged", f"{schema}.live", promote=True)
+    return spark.table(written[-1])
