@@ -169,7 +169,7 @@ SELECT country, count(*) AS n_invoices, count(DISTINCT customer_id) AS n_custome
   stddev_samp(invoice_amount) AS invoice_amt_std,
   CASE WHEN count(*) < 50 THEN 1 ELSE 0 END AS low_confidence FROM typed GROUP BY country""")
 _STATS_SPEC = " ".join(
-    f"{c}:{3 if 'amt' in c or 'limit' in c else 6}" for c in profile.COUNTRY_STATS
+    f"{c}:6" for c in profile.COUNTRY_STATS
     if c not in ("dpd_median", "dpd_p90"))
 
 
@@ -229,8 +229,7 @@ VECTOR_STATS = ["mean_dpd", "p90_dpd", "std_dpd", "on_time_ratio", "cleared_rati
                 "p2p_avg_amt", "exposure_mean", "exposure_skew", "invoice_amt_mean",
                 "invoice_amt_median", "invoices_per_cust", "median_dpd", "exposure_median"]
 _VECTOR_SPEC = " ".join(
-    f"{c}:{3 if 'amt' in c or c in ('exposure_mean', 'exposure_median') else 6}"
-    for c in VECTOR_STATS)
+    f"{c}:6" for c in VECTOR_STATS)
 
 
 @query("a23_country_vector", uses="vector", spec=_VECTOR_SPEC, sql="SELECT * FROM vector")
