@@ -376,11 +376,16 @@ def _(spark, path):
     return score.routing_map(scored_table(spark, path), 0.8, model_prefix="risk_")
 
 
+# the whole rule: merged edges leave two intervals (cut again at the median) or one
 _TERTILES = """
-SELECT customer_id, snapshot_date, CASE WHEN s <= q1 THEN 'Low' WHEN s <= q2 THEN 'Medium' ELSE 'High' END AS risk_band
-FROM (SELECT customer_id, snapshot_date, score AS s,
-  quantile_cont(score, CAST(1 AS DOUBLE) / 3) OVER (PARTITION BY country) AS q1,
-  quantile_cont(score, CAST(2 AS DOUBLE) / 3) OVER (PARTITION BY country) AS q2 FROM scored)"""
+SELECT customer_id, snapshot_date, CASE
+  WHEN k = 3 THEN CASE WHEN s <= q1 THEN 'Low' WHEN s <= q2 THEN 'Medium' ELSE 'High' END
+  WHEN k = 2 AND lo < mid AND mid < hi AND s > mid THEN 'Medium' ELSE 'Low' END AS risk_band
+FROM (SELECT *, len(list_distinct([lo, q1, q2, hi])) - 1 AS k FROM (
+  SELECT customer_id, snapshot_date, score AS s, min(score) OVER w AS lo, max(score) OVER w AS hi,
+    quantile_cont(score, 0.5) OVER w AS mid, quantile_cont(score, CAST(1 AS DOUBLE) / 3) OVER w AS q1,
+    quantile_cont(score, CAST(2 AS DOUBLE) / 3) OVER w AS q2
+  FROM scored WINDOW w AS (PARTITION BY country)))"""
 
 
 @query("w13_score_tertiles", uses="scored", spec="snapshot_date:d", sql=_TERTILES)

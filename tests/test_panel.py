@@ -51,7 +51,7 @@ def test_panel_matches_the_stepped_calendar(spark):
 
 def as_rows(df):
     ordered = df.select(*sorted(df.columns))
-    return sorted(tuple(round(v, 6) if isinstance(v, float) else str(v) for v in r)
+    return sorted(tuple(f"{v:.6f}" if isinstance(v, float) else str(v) for v in r)
                   for r in ordered.collect())
 
 
