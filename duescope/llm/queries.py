@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import decontaminate, simhash, tokenbin
+from duescope.llm import decontaminate, quality_rules, simhash, tokenbin
 from duescope.llm.common import table
 from duescope.storage import new_path
 
@@ -68,3 +68,10 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
     tokenbin.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return tokenbin.digests(spark, path)
+
+
+@query
+def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept", F.round("d2", 6).alias("d2"))
