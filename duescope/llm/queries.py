@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import decontaminate, quality_rules, simhash, tokenbin
+from duescope.llm import decontaminate, licenses, quality_rules, simhash, tokenbin
 from duescope.llm.common import table
 from duescope.storage import new_path
 
@@ -75,3 +75,9 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         "base_failed", "kept", F.round("d2", 6).alias("d2"))
+
+
+@query
+def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")

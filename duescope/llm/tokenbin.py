@@ -8,8 +8,11 @@ the file, so global starts need one small sum per file.
 
 from __future__ import annotations
 
+import os
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,61 +25,74 @@ END = 0  # the id after each document
 CACHE = 200_000  # words whose ids a task remembers; beyond it, it starts afresh
 
 
+class Words(dict):
+    """Ids of words by `encode`, remembered; the words of the last two rounds of CACHE stay."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.encode, self.old = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE:
+            self.old = dict(self)
+            self.clear()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of whole texts as bytes of little-endian 32-bit integers.
 
     The vocabulary's pattern never joins what stands on two sides of a single space or line
-    end between words, so words are encoded once (with their leading space) and remembered.
-    Texts with any other white space, or with the mark of a special token, go to the library whole.
+    end between words, so words are encoded once (with their leading space) and remembered. A
+    Latin word and the punctuation behind it are two tokens of the pattern; each goes straight
+    to the library's merges. Other words go to the library whole, and so do texts with any
+    other white space or with the mark of a special token.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.merges = Tokenizer(self.tokenizer.model)
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(0xC0, 0x100))}
+        self.plain = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+        self.first = Words(self.word)
+        self.spaced = Words(lambda w: self.word(" " + w))
+        self.cores = Words(self.core)
         self.line_end = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = list(words - known.keys())
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([before + w for w in part], add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        lines: list[list[list[str]] | None] = []
-        first, spaced = set(), set()
-        if len(self.spaced) > CACHE:
-            self.spaced.clear()
-        if len(self.first) > CACHE:
-            self.first.clear()
-        for text in texts:
-            words = text.split() if text else []
-            plain = (len(words) > 0 and sum(map(len, words)) + len(words) - 1 == len(text)
-                     and text.count(" ") + text.count("\n") == len(words) - 1 and "<|" not in text)
-            lines.append([line.split(" ") for line in text.split("\n")] if plain else None)
-            for line in lines[-1] or ():
-                first.add(line[0])
-                spaced.update(line[1:])
-        self.learn(self.first, first, "")
-        self.learn(self.spaced, spaced, " ")
-        out = []
-        for text, doc in zip(texts, lines):
-            if doc is None:
-                out.append(self.whole(text) if text else b"")
-                continue
-            parts: list[bytes] = []
-            for line in doc:
-                parts.append(self.line_end)
-                parts.append(self.first[line[0]])
-                parts.extend(map(self.spaced.__getitem__, line[1:]))
-            out.append(b"".join(parts[1:]))
-        return out
+    def core(self, word: str) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids) if (ids := self.merges.encode(word.translate(self.letters)).ids) else b""
+
+    def word(self, word: str) -> bytes:
+        m = self.plain.fullmatch(word)
+        if m is None:
+            return self.whole(word)
+        return self.cores[m[1]] + self.cores[m[2]] if m[2] else self.cores[m[1]]
+
+    def encode(self, text: str | None) -> bytes:
+        words = text.split() if text else []
+        single = (len(words) > 0 and sum(map(len, words)) + len(words) - 1 == len(text)
+                  and text.count(" ") + text.count("\n") == len(words) - 1 and "<|" not in text)
+        if not single:
+            return self.whole(text) if text else b""
+        parts: list[bytes] = []
+        for line in text.split("\n"):
+            in_line = line.split(" ")
+            parts.append(self.line_end)
+            parts.append(self.first[in_line[0]])
+            parts.extend(map(self.spaced.__getitem__, in_line[1:]))
+        return b"".join(parts[1:])
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end: int = END, row_group: int = 1000) -> None:
@@ -88,8 +104,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END, row_group:
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before, stop = Encoder(tokenizer), 0, np.array([end], "<u4").tobytes()
-        for b in pieces(batches):
-            each = [ids + stop for ids in encoder.encode(b.column(2).to_pylist())]
+        for b in pieces(batches, 1 << 20):
+            each = [encoder.encode(text) + stop for text in b.column(2).to_pylist()]
             ends = np.cumsum([len(x) // 4 for x in each])
             starts = np.r_[0, ends[:-1]]
             values = pa.array(np.frombuffer(b"".join(each), "<i4"))
