@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import decontaminate, licenses, quality_rules, simhash, tokenbin
+from duescope.llm import chat, decontaminate, licenses, quality_rules, simhash, tokenbin
 from duescope.llm.common import table
-from duescope.storage import new_path
+from duescope.storage import new_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,12 @@ def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scanned(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query
+def op7_chat_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(stored(chat.formatted(rows)))
