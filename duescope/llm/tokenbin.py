@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+import sys
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -21,71 +23,85 @@ from pyspark.sql import functions as F
 
 from duescope.llm.common import pieces
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 END = 0  # the id after each document
-CACHE = 200_000  # words whose ids a task remembers; beyond it, it starts afresh
+CACHE = 400_000  # words whose ids a task remembers; beyond it, it starts afresh
 
 
 class Words(dict):
-    """Ids of words by `encode`, remembered; the words of the last two rounds of CACHE stay."""
+    """Ids of words behind `before` ("" or a space), remembered; those of the last two rounds of
+    CACHE words stay. A Latin word and the punctuation after it are two tokens of the
+    vocabulary's pattern; each goes straight to the library's merges. Other words go to the
+    library whole."""
+
+    PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+
+    def __init__(self, before: str, tokenizer: "Tokenizer", marks: dict[str, bytes]) -> None:
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
-    def __init__(self, encode: Callable[[str], bytes]) -> None:
         super().__init__()
-        self.encode, self.old = encode, {}
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(0xC0, 0x100))}
+        self.before, self.start = before, before.translate(self.letters)
+        self.tokenizer, self.merges = tokenizer, Tokenizer(tokenizer.model).encode
+        self.marks, self.old = marks, {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
-            self.old = dict(self)
+            self.old = self.copy()
             self.clear()
         ids = self.old.get(word)
         if ids is None:
-            ids = self.encode(word)
+            m = self.PLAIN.fullmatch(word)
+            if m is None:
+                ids = whole(self.tokenizer, self.before + word)
+            elif m[2]:
+                if m[2] not in self.marks:
+                    self.marks[m[2]] = whole(self.tokenizer, m[2])
+                ids = self[m[1]] + self.marks[m[2]]
+            else:
+                ids = packed(self.merges(self.start + (word if word.isascii() else word.translate(self.letters))).ids)
         self[word] = ids
         return ids
 
 
+def packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def whole(tokenizer: "Tokenizer", text: str) -> bytes:
+    return packed(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
 class Encoder:
     """Ids of whole texts as bytes of little-endian 32-bit integers.
 
     The vocabulary's pattern never joins what stands on two sides of a single space or line
-    end between words, so words are encoded once (with their leading space) and remembered. A
-    Latin word and the punctuation behind it are two tokens of the pattern; each goes straight
-    to the library's merges. Other words go to the library whole, and so do texts with any
-    other white space or with the mark of a special token.
+    end between words, so words are encoded once (with their leading space) and remembered.
+    Texts with any other white space or with the mark of a special token go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = Tokenizer(self.tokenizer.model)
-        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(0xC0, 0x100))}
-        self.plain = re.compile(r"( ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
-        self.first = Words(self.word)
-        self.spaced = Words(lambda w: self.word(" " + w))
-        self.cores = Words(self.core)
-        self.line_end = self.whole("\n")
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def core(self, word: str) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids) if (ids := self.merges.encode(word.translate(self.letters)).ids) else b""
-
-    def word(self, word: str) -> bytes:
-        m = self.plain.fullmatch(word)
-        if m is None:
-            return self.whole(word)
-        return self.cores[m[1]] + self.cores[m[2]] if m[2] else self.cores[m[1]]
+        marks: dict[str, bytes] = {}
+        self.first, self.spaced = Words("", self.tokenizer, marks), Words(" ", self.tokenizer, marks)
+        self.line_end = whole(self.tokenizer, "\n")
 
     def encode(self, text: str | None) -> bytes:
         words = text.split() if text else []
         single = (len(words) > 0 and sum(map(len, words)) + len(words) - 1 == len(text)
                   and text.count(" ") + text.count("\n") == len(words) - 1 and "<|" not in text)
         if not single:
-            return self.whole(text) if text else b""
+            return whole(self.tokenizer, text) if text else b""
         parts: list[bytes] = []
         for line in text.split("\n"):
             in_line = line.split(" ")
