@@ -58,7 +58,8 @@ def _words(text: str) -> list[str]:
 def templates(spark: SparkSession, base: list[tuple[str, str]] = BASE, more: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """Triples of the templates (ASCII texts of three words or more) with their positions.
 
-    A table made from this module's list, so Spark knows its size and picks the join by it."""
+    The table is stored, so Spark knows its size and picks the join by it: it is broadcast while
+    it is under spark.sql.autoBroadcastJoinThreshold, else both sides are shuffled."""
     rows = []
     for t, (label, text) in enumerate([*base, *more]):
         w = _words(text)
@@ -66,7 +67,7 @@ def templates(spark: SparkSession, base: list[tuple[str, str]] = BASE, more: lis
             raise ValueError(f"a template needs {K} ASCII words: {text!r}")
         rows += [(t, label, t < len(base), len(w), i, " ".join(w[i:i + K])) for i in range(len(w) - K + 1)]
     made = spark.createDataFrame(rows, "template int, label string, base boolean, size int, at int, gram string")
-    return made.withColumn("hash", F.xxhash64("gram"))
+    return stored(made.coalesce(1).withColumn("hash", F.xxhash64("gram")))
 
 
 def words(text: Column) -> Column:
