@@ -14,7 +14,6 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -23,31 +22,40 @@ from pyspark.sql import functions as F
 
 from duescope.llm.common import pieces
 
-if TYPE_CHECKING:
-    from tokenizers import Tokenizer
-
 END = 0  # the id after each document
 CACHE = 400_000  # words whose ids a task remembers; beyond it, it starts afresh
 
 
+class Odd(Exception):
+    """A text whose words can't be encoded one by one."""
+
+
 class Words(dict):
-    """Ids of words behind `before` ("" or a space), remembered; those of the last two rounds of
-    CACHE words stay. A Latin word and the punctuation after it are two tokens of the
-    vocabulary's pattern; each goes straight to the library's merges. Other words go to the
-    library whole."""
+    """Ids of words, remembered; those of the last two rounds of CACHE words stay.
 
-    PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+    A key is what stands between spaces: a word that follows a space, or a line end and the word
+    after it. A Latin word and the punctuation behind it are two tokens of the vocabulary's
+    pattern; each goes straight to the library's merges. Other words go to the library whole.
+    """
 
-    def __init__(self, before: str, tokenizer: "Tokenizer", marks: dict[str, bytes]) -> None:
+    PLAIN = re.compile(r"(\n?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([.,;:!?]*)")
+
+    def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         super().__init__()
         as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in (32, *range(0xC0, 0x100))}
-        self.before, self.start = before, before.translate(self.letters)
-        self.tokenizer, self.merges = tokenizer, Tokenizer(tokenizer.model).encode
-        self.marks, self.old = marks, {}
+        self.space = self.letters[32]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
+        self.marks: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.line_end = self.whole("\n")
+
+    def whole(self, text: str) -> bytes:
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
@@ -57,13 +65,18 @@ class Words(dict):
         if ids is None:
             m = self.PLAIN.fullmatch(word)
             if m is None:
-                ids = whole(self.tokenizer, self.before + word)
+                first = word[:1] == "\n"
+                if word.split() != [word[first:]]:
+                    raise Odd
+                ids = self.line_end + self.whole(word[1:]) if first else self.whole(" " + word)
             elif m[2]:
                 if m[2] not in self.marks:
-                    self.marks[m[2]] = whole(self.tokenizer, m[2])
+                    self.marks[m[2]] = self.whole(m[2])
                 ids = self[m[1]] + self.marks[m[2]]
             else:
-                ids = packed(self.merges(self.start + (word if word.isascii() else word.translate(self.letters))).ids)
+                seen = word if word.isascii() else word.translate(self.letters)
+                ids = (self.line_end + packed([t.id for t in self.merges(seen[1:])]) if word[0] == "\n"
+                       else packed([t.id for t in self.merges(self.space + seen)]))
         self[word] = ids
         return ids
 
@@ -75,40 +88,35 @@ def packed(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-def whole(tokenizer: "Tokenizer", text: str) -> bytes:
-    return packed(tokenizer.encode(text, add_special_tokens=False).ids)
-
-
 class Encoder:
     """Ids of whole texts as bytes of little-endian 32-bit integers.
 
     The vocabulary's pattern never joins what stands on two sides of a single space or line
     end between words, so words are encoded once (with their leading space) and remembered.
-    Texts with any other white space or with the mark of a special token go to the library whole.
+    Texts with any other white space go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
+        self.words = Words(path)
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The encoder of this Python worker; kept with the library, for the worker's later tasks."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        marks: dict[str, bytes] = {}
-        self.first, self.spaced = Words("", self.tokenizer, marks), Words(" ", self.tokenizer, marks)
-        self.line_end = whole(self.tokenizer, "\n")
+        kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
 
     def encode(self, text: str | None) -> bytes:
-        words = text.split() if text else []
-        single = (len(words) > 0 and sum(map(len, words)) + len(words) - 1 == len(text)
-                  and text.count(" ") + text.count("\n") == len(words) - 1 and "<|" not in text)
-        if not single:
-            return whole(self.tokenizer, text) if text else b""
-        parts: list[bytes] = []
-        for line in text.split("\n"):
-            in_line = line.split(" ")
-            parts.append(self.line_end)
-            parts.append(self.first[in_line[0]])
-            parts.extend(map(self.spaced.__getitem__, in_line[1:]))
-        return b"".join(parts[1:])
+        if not text:
+            return b""
+        try:  # the line end put before the first word is taken off again
+            return b"".join(map(self.words.__getitem__, f"\n{text}".replace("\n", " \n")[1:].split(" ")))[len(self.words.line_end):]
+        except Odd:
+            return self.words.whole(text)
 
 
 def write(docs: DataFrame, tokenizer: str, path: str, end: int = END, row_group: int = 1000) -> None:
@@ -119,7 +127,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END, row_group:
     columns are ignored; an empty table gives a file set without rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before, stop = Encoder(tokenizer), 0, np.array([end], "<u4").tobytes()
+        encoder, before, stop = Encoder.of(tokenizer), 0, np.array([end], "<u4").tobytes()
         for b in pieces(batches, 1 << 20):
             each = [encoder.encode(text) + stop for text in b.column(2).to_pylist()]
             ends = np.cumsum([len(x) // 4 for x in each])
