@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import chat, decontaminate, licenses, quality_rules, simhash, tokenbin
-from duescope.llm.common import table
+from duescope.llm import chat, decontaminate, licenses, quality_rules, simhash, tokenbin, toxicity
+from duescope.llm.common import held_out, table
 from duescope.storage import new_path, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
