@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import chat, decontaminate, licenses, quality_rules, simhash, tokenbin, toxicity
+from duescope.llm import chat, decontaminate, language, licenses, quality_model, quality_rules, simhash, tokenbin, toxicity
 from duescope.llm.common import held_out, table
 from duescope.storage import new_path, stored
 
@@ -34,6 +34,13 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "links")
 
 
+@query
+def op3_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predicted(docs, language.fitted(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -76,6 +83,12 @@ def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.digests(spark, path)
 
 
+@query
+def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"))
