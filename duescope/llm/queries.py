@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.llm import chat, decontaminate, language, licenses, quality_model, quality_rules, simhash, tokenbin, toxicity
+from duescope.llm import chat, decontaminate, language, licenses, packing, quality_model, quality_rules, simhash, tokenbin, toxicity
 from duescope.llm.common import held_out, table
 from duescope.storage import new_path, stored
 
@@ -76,6 +76,11 @@ FROM doc d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.word_tokens(table(spark, sf_dir, "documents")))
+
+
 @query
 def op6_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tokens")
