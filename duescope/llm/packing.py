@@ -52,6 +52,8 @@ class _Left:
         used, below = 0, len(self.lengths)
         while room > used and (below := bisect_right(self.lengths, room - used, 0, below)):
             n = self.lengths[below - 1]
+            if not n:
+                break
             used += n * min(self.counts[n], (room - used) // n)
             below -= 1
         return used
@@ -70,7 +72,7 @@ def pack(lengths: Sequence[int], sizes: Sequence[int] = LENGTHS) -> list[tuple[i
         if at < len(rooms):
             room, b = rooms.pop(at)
         else:
-            best = min((s for s in sizes if s >= n), key=lambda s: (cost(s) / (n + left.filled(s - n)), -s))
+            best = min((s for s in sizes if s >= n), key=lambda s: (cost(s) / max(1, n + left.filled(s - n)), -s))
             room, b = best, len(used)
             used.append(0)
         out[i] = (b, used[b])
