@@ -17,6 +17,12 @@ def share(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation, null where one side is constant (an error for corr in ANSI mode)."""
+    x, y = x.cast("double"), y.cast("double")
+    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+
+
 def term_days(net: Column, discount_2: Column, discount_1: Column) -> Column:
     """First non-zero of net days, second and first discount days; 0 if none is set."""
     zero = F.lit(0)

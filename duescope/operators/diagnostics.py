@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duescope.functions import columns as C
 from duescope.operators.evaluate import Grid, grid_counts
 from duescope.operators.ordered import exact_quantiles
 
@@ -69,20 +70,16 @@ def histogram(df: DataFrame, column: str, bins: int, by: list[str] | None = None
 def correlation_pairs(df: DataFrame, columns: list[str], top: int = 25) -> DataFrame:
     """Pearson correlation of the `top` columns with the largest variance, long form.
 
-    One row of variances decides the columns, one pass computes the matrix; only these
-    column-count-sized results reach the driver.
+    One row of variances decides the columns; one aggregation computes all pairs, each over the
+    rows where both values are present. Only column-count-sized results reach the driver.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     variances = df.agg(*[F.var_samp(c).alias(c) for c in columns]).first().asDict()
     ranked = sorted(columns, key=lambda c: (-(variances[c] or 0.0), c))[:top]
-    vectors = VectorAssembler(inputCols=ranked, outputCol="v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in ranked])).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    pairs = [(a, b, float(matrix[i][j]))
-             for i, a in enumerate(ranked) for j, b in enumerate(ranked)]
-    return df.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string, corr double")
+    ordered = [(a, b) for i, a in enumerate(ranked) for b in ranked[i:]]
+    row = df.agg(*[C.correlation(F.col(a), F.col(b)).alias(f"c{k}") for k, (a, b) in enumerate(ordered)])
+    both_ways = [F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"c{k}").alias("corr"))
+                 for k, (a, b) in enumerate(ordered) for x, y in dict.fromkeys([(a, b), (b, a)])]
+    return row.select(F.explode(F.array(*both_ways)).alias("p")).select("p.*")
 
 
 def missing_shares(df: DataFrame) -> DataFrame:

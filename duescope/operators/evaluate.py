@@ -284,8 +284,12 @@ def operating_report(df: DataFrame, groups: list[str], threshold: Column | None
 
 
 def slice_report(df: DataFrame, thresholds: DataFrame, group: str) -> DataFrame:
-    """Pooled and per-group metrics, each slice at its own threshold (slice, threshold)."""
-    both = with_pooled(df, group).join(thresholds, "slice")
+    """Pooled and per-group metrics, each slice at its own threshold (slice, threshold).
+
+    A group without a threshold of its own is reported at the pooled one."""
+    pooled = thresholds.filter(F.col("slice") == POOLED).agg(F.max("threshold")).scalar()
+    both = with_pooled(df, group).join(thresholds, "slice", "left").withColumn(
+        "threshold", F.coalesce("threshold", pooled))
     report = operating_report(both, ["slice"])
     return report.select(
         "slice", F.col("threshold_used").alias("threshold"), "n", "n_pos", "recall", "precision",

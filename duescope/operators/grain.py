@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duescope.functions import columns as C
@@ -28,9 +28,10 @@ def completed_due_date(df: DataFrame, terms: tuple[str, str, str] = TERMS) -> Da
     return with_terms(df, terms).withColumn("due_date", F.coalesce("due_date", computed))
 
 
-# How each optional line column reaches the invoice. Attributes equal on all lines of an
-# invoice take max or min, which is deterministic and combines before the shuffle.
-_INVOICE_RULES = {
+# How a line column reaches the invoice. Attributes equal on all lines of an invoice take max
+# or min, which is deterministic and combines before the shuffle.
+_ALWAYS = {"invoice_amount": F.sum, "baseline_date": F.min, "due_date": F.min, "clearing_date": F.max}
+_IF_PRESENT = {
     "open_amount": F.sum,
     "country": F.min, "region": F.min, "invoice_status": F.min,
     "dunning_level": F.max, "last_dunned_date": F.max, "dunning_count": F.max,
@@ -40,14 +41,14 @@ _INVOICE_RULES = {
 }
 
 
+def _rolled(items: DataFrame, rules: dict, *more: Column) -> DataFrame:
+    return items.groupBy("customer_id", "invoice_id").agg(
+        *[rule(name).alias(name) for name, rule in rules.items()], *more)
+
+
 def invoices_narrow(items: DataFrame) -> DataFrame:
     """One row per (customer, invoice): amount, first baseline and due date, last clearing."""
-    return items.groupBy("customer_id", "invoice_id").agg(
-        F.sum("invoice_amount").alias("invoice_amount"),
-        F.min("baseline_date").alias("baseline_date"),
-        F.min("due_date").alias("due_date"),
-        F.max("clearing_date").alias("clearing_date"),
-    )
+    return _rolled(items, _ALWAYS)
 
 
 def invoices(items: DataFrame) -> DataFrame:
@@ -56,18 +57,12 @@ def invoices(items: DataFrame) -> DataFrame:
     The promise state is that of the latest promise; equal dates take the higher state.
     """
     have = set(items.columns)
-    extra = [rule(name).alias(name) for name, rule in _INVOICE_RULES.items() if name in have]
+    more = []
     if {"fin_p2p_state", "promise_dt"} <= have:
         dated = F.when(
             F.col("fin_p2p_state").isNotNull(), F.struct("promise_dt", "fin_p2p_state")
         )
-        extra.append(F.max(dated)["fin_p2p_state"].alias("fin_p2p_state"))
+        more.append(F.max(dated)["fin_p2p_state"].alias("fin_p2p_state"))
     if "source" in have:
-        extra.append(F.max((F.col("source") == CLEARED).cast("int")).alias("is_cleared"))
-    return items.groupBy("customer_id", "invoice_id").agg(
-        F.sum("invoice_amount").alias("invoice_amount"),
-        F.min("baseline_date").alias("baseline_date"),
-        F.min("due_date").alias("due_date"),
-        F.max("clearing_date").alias("clearing_date"),
-        *extra,
-    )
+        more.append(F.max((F.col("source") == CLEARED).cast("int")).alias("is_cleared"))
+    return _rolled(items, _ALWAYS | {n: r for n, r in _IF_PRESENT.items() if n in have}, *more)

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from duescope.storage import stored
 
-SLICES = 64
+SLICES = 64  # at least; a session with more shuffle partitions cuts as many slices
 _ALL = "_all"
 
 
@@ -24,12 +24,13 @@ def _grouped(df: DataFrame, groups: list[str]) -> tuple[DataFrame, list[str]]:
 
 
 def running_totals(points: DataFrame, groups: list[str], order: str, sums: list[str],
-                   slices: int = SLICES) -> DataFrame:
+                   slices: int | None = None) -> DataFrame:
     """Adds `cum_<name>`, the total of `name` over rows with order <= own, per group.
 
     `points` has one row per (groups, order); `order` is numeric or a date. It is read
     three times, so pass a stored table when it is expensive.
     """
+    slices = slices or max(SLICES, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     extra = [] if groups else [_ALL]
     points, keys = _grouped(points, groups)
     cuts = points.agg(
@@ -64,7 +65,7 @@ def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, wanted: dict[str, float],
-                    slices: int = SLICES) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """Linearly interpolated quantiles per group, one output column per entry of `wanted`."""
     keyed, keys = _grouped(df, groups)
     counts = stored(value_counts(keyed, keys, value))

@@ -6,17 +6,20 @@ leaves the executors; the driver sees metrics, importances and fitted models.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import random
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duescope.functions import encoding, weights
+from duescope.functions import bands, encoding, weights
 from duescope.operators import evaluate as ev
 from duescope.operators import splits
 from duescope.operators.assemble import NOT_FEATURES
@@ -25,7 +28,7 @@ from duescope.storage import stored
 
 @dataclass(frozen=True)
 class TreeParams:
-    max_iter: int = 20
+    max_iter: int = 500                  # a ceiling; validation decides when to stop
     max_depth: int = 3
     step_size: float = 0.1
     subsample: float = 0.8
@@ -40,8 +43,8 @@ RESCUE = TreeParams(max_depth=3, step_size=0.1, subsample=1.0, min_rows_per_node
 
 @dataclass(frozen=True)
 class TrainSettings:
-    trials_full: int = 20
-    trials_small: int = 8
+    trials_full: int = 120
+    trials_small: int = 30
     n_splits: int = 4
     gap_days: int = 30
     full_rows: int = 500
@@ -53,7 +56,7 @@ class TrainSettings:
     importance_cutoff: float = 0.001
     min_features: int = 10
     n_seeds: int = 3
-    max_iter: int = 20
+    max_iter: int = 500
     min_recall: float = 0.8
     own_threshold_positives: int = 10
     half_life_days: float = 180.0
@@ -155,11 +158,10 @@ def fit_ensemble(df: DataFrame, features: list[str], params: TreeParams, n_seeds
 def calibrated(ensemble: Ensemble, val: DataFrame, platt_below: int = 25) -> Ensemble:
     """Platt with few validation positives, isotonic otherwise.
 
-    Raw scores are merged at six decimals, so the calibrator sees at most a million points
-    however many validation rows there are.
+    Equal raw scores are merged into one weighted point; the scores themselves stay exact.
     """
     raw = ensemble.raw(val.select("target", *ensemble.features))
-    points = stored(raw.groupBy(F.round("score", 6).alias("score"), "target").agg(
+    points = stored(raw.groupBy("score", "target").agg(
         F.count("*").cast("double").alias("w")))
     positives = points.agg(F.sum(F.when(F.col("target") == 1, F.col("w")))).first()[0] or 0.0
     if positives < platt_below:
@@ -199,10 +201,27 @@ def candidates(mode: str, trials: int, max_iter: int, depth_cap: int = 5, seed:
         for _ in range(trials)]
 
 
+def macro_precision(scored: DataFrame) -> float | None:
+    """Mean over countries of the average precision."""
+    return ev.macro_average_precision(scored, "country").first()["score"]
+
+
+def composite(scored: DataFrame) -> float | None:
+    """Half average precision, 0.3 F2 at the threshold of recall 0.8, 0.2 recall in the top 20 %."""
+    points = ev.score_points(scored, [])
+    at = ev.threshold_at_recall(points, [], 0.8).select("threshold").scalar()
+    report = ev.operating_report(scored, [], at).select("pr_auc", "f2").first()
+    top = ev.top_share_recall(scored, [0.2]).first()["recall"]
+    if report is None or report["pr_auc"] is None:
+        return None
+    return 0.5 * report["pr_auc"] + 0.3 * (report["f2"] or 0.0) + 0.2 * (top or 0.0)
+
+
 def search(folds: DataFrame, features: list[str], tried: list[TreeParams], penalty: float,
-           half_life_days: float = 180.0) -> DataFrame:
-    """Mean minus penalty times spread of the fold scores (macro average precision) for each
-    candidate, best first. `folds` comes from `splits.walk_forward`."""
+           half_life_days: float = 180.0, objective: Callable[[DataFrame], float | None] = macro_precision
+           ) -> DataFrame:
+    """Mean minus penalty times spread of the fold scores (`objective` of label, score and
+    country) for each candidate, best first. `folds` comes from `splits.walk_forward`."""
     folds = stored(folds)
     numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
     rows = []
@@ -213,8 +232,7 @@ def search(folds: DataFrame, features: list[str], tried: list[TreeParams], penal
             model = Ensemble(features, [fit_trees(train, features, params)])
             val = model.raw(part.filter(F.col("role") == "val")).withColumnRenamed(
                 "target", "label")
-            value = ev.macro_average_precision(stored(val.select("country", "label", "score")),
-                                               "country").first()["score"]
+            value = objective(stored(val.select("country", "label", "score")))
             rows.append((i, f, float(value if value is not None else 0.0)))
     spark = folds.sparkSession
     scores = spark.createDataFrame(rows, "candidate int, fold int, score double")
@@ -328,11 +346,7 @@ def train_per_cluster(panel: DataFrame, clusters: dict[str, list[str]], settings
 def train_global(panel: DataFrame, clusters: dict[str, list[str]], settings: TrainSettings
                  ) -> TrainedModel | None:
     """One model for all countries, with country and cluster one-hots."""
-    countries = sorted(c for cs in clusters.values() for c in cs)
-    pooled = encoding.one_hot(panel, "country", countries, "country")
-    by_cluster = with_cluster(pooled, clusters)
-    hot = encoding.one_hot(by_cluster, "cluster", sorted(clusters), "cluster", other="other")
-    return train_model(hot.drop("cluster"), "global", settings)
+    return train_model(encoded_for_global(panel, clusters), "global", settings)
 
 
 def with_cluster(df: DataFrame, clusters: dict[str, list[str]]) -> DataFrame:
@@ -342,46 +356,87 @@ def with_cluster(df: DataFrame, clusters: dict[str, list[str]]) -> DataFrame:
     return df.withColumn("cluster", table)
 
 
-def score_clusters(rows: DataFrame, models: dict[str, TrainedModel],
-                   clusters: dict[str, list[str]]) -> DataFrame:
-    """Every row scored by its cluster's model at its country's threshold."""
-    from duescope.operators.score import routed
-
+def routing_rows(models: dict[str, TrainedModel], clusters: dict[str, list[str]],
+                 refresh_date: dt.date | None = None) -> DataFrame:
+    """What serving has to know per country of a trained cluster: model, own and cluster
+    threshold, training rows, seeds, calibration, whether tuned, and the day of training."""
     out = None
     for name, model in models.items():
-        countries = sorted(clusters[name])
-        pool = encoding.one_hot(
-            rows.filter(F.col("country").isin(countries)), "country", countries, "country")
-        scored = model.production.score(pool).drop(*[f"country_{c}" for c in countries])
-        routing = model.thresholds.filter(F.col("slice") != ev.POOLED).select(
-            F.col("slice").alias("country"), F.lit(name).alias("cluster"),
-            F.lit(f"risk_{name}").alias("model_name"), "threshold")
+        own = model.thresholds.filter(F.col("slice") != ev.POOLED).select(F.col("slice").alias("country"), F.col("threshold").alias("own"))
         shared = model.thresholds.filter(F.col("slice") == ev.POOLED).select("threshold").scalar()
-        missing = rows.filter(F.col("country").isin(countries)).select("country").distinct().join(
-            routing, "country", "left_anti").select(
+        served = model.thresholds.sparkSession.createDataFrame([(c,) for c in sorted(clusters[name])], "country string")
+        part = served.join(own, "country", "left").select(
             "country", F.lit(name).alias("cluster"), F.lit(f"risk_{name}").alias("model_name"),
-            shared.alias("threshold"))
-        part = routed(scored, routing.unionByName(missing))
+            F.coalesce("own", shared).alias("threshold"), shared.alias("cluster_threshold"),
+            F.lit(model.rows).cast("long").alias("trained_rows"), F.lit(len(model.production.models)).cast("long").alias("n_seeds"),
+            F.lit(model.production.kind or "none").alias("calibration"), F.lit(model.tuned).alias("tuned"),
+            F.lit((refresh_date or dt.date.today()).isoformat()).alias("refresh_date"))
         out = part if out is None else out.unionByName(part)
     if out is None:
-        raise ValueError("no cluster produced scores")
+        raise ValueError("no cluster was trained")
+    return out
+
+
+def encoded_for_global(df: DataFrame, clusters: dict[str, list[str]]) -> DataFrame:
+    """Country and cluster one-hots as `train_global` sees them."""
+    countries = sorted(c for cs in clusters.values() for c in cs)
+    by_cluster = with_cluster(encoding.one_hot(df, "country", countries, "country"), clusters)
+    return encoding.one_hot(by_cluster, "cluster", sorted(clusters), "cluster", other="other").drop("cluster")
+
+
+def score_clusters(rows: DataFrame, models: dict[str, TrainedModel], clusters: dict[str, list[str]],
+                   fallback: TrainedModel | None = None) -> DataFrame:
+    """Every row of `rows`, scored by its cluster's model at its country's threshold.
+
+    `status` says how: "cluster"; "global" where the cluster has no model, or the country no
+    cluster, and `fallback` (from `train_global`) scored the row at its pooled threshold; else
+    "unscored", with null score and class.
+    """
+    from duescope.operators.score import routed
+
+    served = {name: sorted(clusters[name]) for name in models}
+    kept = list(rows.columns)
+    parts: list[DataFrame] = []
+    if models:
+        routing = stored(routing_rows(models, clusters).select("country", "cluster", "model_name", "threshold"))
+    for name, model in models.items():
+        pool = encoding.one_hot(rows.filter(F.col("country").isin(served[name])), "country", served[name], "country")
+        scored = model.production.score(pool).select(*kept, "score")
+        parts.append(routed(scored, routing).withColumn("status", F.lit("cluster")))
+    known = [c for cs in served.values() for c in cs]
+    rest = rows.filter(~F.coalesce(F.col("country").isin(known), F.lit(False)))
+    if fallback is not None:
+        at = fallback.thresholds.filter(F.col("slice") == ev.POOLED).select("threshold").scalar()
+        scored = fallback.production.score(encoded_for_global(rest, clusters)).select(*kept, "score")
+        named = with_cluster(scored, clusters).withColumns({
+            "model_name": F.lit("risk_global"), "threshold_used": at, "binary_pred": bands.flagged(F.col("score"), at),
+            "predicted_class": bands.threshold_band(F.col("score"), at), "status": F.lit("global")})
+    else:
+        named = with_cluster(rest, clusters).withColumns({
+            "score": F.lit(None).cast("double"), "model_name": F.lit(None).cast("string"),
+            "threshold_used": F.lit(None).cast("double"), "binary_pred": F.lit(None).cast("int"),
+            "predicted_class": F.lit(None).cast("string"), "status": F.lit("unscored")})
+    out = named
+    for part in parts:
+        out = out.unionByName(part)
     return out
 
 
 def leave_one_out_scores(panel: DataFrame, features: list[str], params: TreeParams,
                          pool: str = "cluster") -> DataFrame:
-    """For each country: a model trained on the rest of its pool, scored on the country."""
-    assigned = stored(splits.leave_one_out(panel, pool))
-    held = [r["held_out"] for r in
-            assigned.select("held_out").distinct().orderBy("held_out").collect()]
+    """For each country: a model trained on the rest of its pool, scored on the country.
+
+    The panel is stored once and filtered per fit; nothing is multiplied by the countries.
+    """
+    panel = stored(panel)
+    held = panel.select(pool, "country").distinct().orderBy("country").collect()
     out = None
-    for country in held:
-        part = assigned.filter(F.col("held_out") == country)
-        train = part.filter(F.col("role") == "train")
+    for r in held:
+        train = panel.filter((F.col(pool) == r[pool]) & (F.col("country") != r["country"]))
         if train.select("target").distinct().limit(2).count() < 2:
             continue
         model = Ensemble(features, [fit_trees(weighted(train, params), features, params)])
-        scored = model.raw(part.filter(F.col("role") == "test")).select(
+        scored = model.raw(panel.filter(F.col("country") == r["country"])).select(
             "country", F.col("target").alias("label"), "score")
         out = scored if out is None else out.unionByName(scored)
     if out is None:
@@ -389,13 +444,30 @@ def leave_one_out_scores(panel: DataFrame, features: list[str], params: TreePara
     return out
 
 
-def save_ensemble(ensemble: Ensemble, path: str) -> None:
-    for i, model in enumerate(ensemble.models):
-        model.write().overwrite().save(f"{path}/seed_{i}")
-
-
-def load_ensemble(path: str, features: list[str], n_seeds: int) -> Ensemble:
-    from pyspark.ml.classification import GBTClassificationModel
-
-    return Ensemble(features, [
-        GBTClassificationModel.load(f"{path}/seed_{i}") for i in range(n_seeds)])
+def save_model(model: TrainedModel, path: str) -> None:
+    """The whole of a trained model: seeds, calibrator, features, thresholds, report, parameters."""
+    spark = model.thresholds.sparkSession
+    e = model.production
+    for i, m in enumerate(e.models):
+        m.write().overwrite().save(f"{path}/seed_{i}")
+    if e.calibrator is not None:
+        e.calibrator.write().overwrite().save(f"{path}/calibrator")
+    about = {"name": model.name, "features": e.features, "kind": e.kind, "n_seeds": len(e.models),
+             "params": asdict(model.params), "tuned": model.tuned, "rows": model.rows}
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+    model.thresholds.coalesce(1).write.mode("overwrite").parquet(f"{path}/thresholds")
+    model.report.coalesce(1).write.mode("overwrite").parquet(f"{path}/report")
+
+
+def load_model(spark: SparkSession, path: str) -> TrainedModel:
+    """What `save_model` wrote; its scores are those of the saved model. It evaluates as it serves."""
+    from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+
+    about = json.loads(spark.read.text(f"{path}/about").first()["value"])
+    models = [GBTClassificationModel.load(f"{path}/seed_{i}") for i in range(about["n_seeds"])]
+    loader = {"platt": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}.get(about["kind"])
+    serving = Ensemble(about["features"], models, loader.load(f"{path}/calibrator") if loader else None, about["kind"])
+    return TrainedModel(
+        about["name"], serving, serving, TreeParams(**about["params"]), spark.read.parquet(f"{path}/thresholds"),
+        spark.read.parquet(f"{path}/report"), about["tuned"], about["rows"])

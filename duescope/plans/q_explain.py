@@ -68,7 +68,7 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_FORMATS = {"money": "format('{{:,.0f}}', value)", "whole": "CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR)",
+_FORMATS = {"money": "format('{{:,.0f}}', round(value, 2))", "whole": "CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR)",
             "percent": "format('{{:.0f}}', value * 100)"}
 _SENTENCE = "CASE feature " + " ".join(
     "WHEN '{f}' THEN replace(replace({t}, '{{v}}', {v}), '{{i}}', impact)".format(

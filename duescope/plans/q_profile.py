@@ -255,8 +255,7 @@ FROM cust c JOIN customer ON c.customer_id = lpad(CAST(c_custkey AS VARCHAR), 10
 sv.view("mix", "segments", """
 SELECT country, level, coalesce(n, 0) / size AS share FROM
   (SELECT country, count(*) AS size FROM segments GROUP BY 1)
-  CROSS JOIN (SELECT coalesce(segment, 'UNK') AS level, count(*) AS t FROM segments GROUP BY 1
-    ORDER BY t DESC, level LIMIT 4)
+  CROSS JOIN (SELECT DISTINCT coalesce(segment, 'UNK') AS level FROM segments)
   LEFT JOIN (SELECT country, coalesce(segment, 'UNK') AS level, count(*) AS n FROM segments GROUP BY 1, 2)
     USING (country, level)""")
 
@@ -271,7 +270,7 @@ def segmented(spark, path):
 
 @query("a25_category_mix", uses="mix", spec="share:9", sql="SELECT * FROM mix")
 def _(spark, path):
-    return profile.category_mix(stored(segmented(spark, path)), "segment", levels=4)
+    return profile.category_mix(stored(segmented(spark, path)), "segment")
 
 
 @query("a26_country_summary", uses="scored", spec="avg_score:9 threshold:4 high_risk_pct:1", sql="""
@@ -375,20 +374,20 @@ def _(spark, path):
     return empirical_cdf(scored(spark, path), [], "score")
 
 
-_CORR = ["total_outstanding", "max_dpd", "avg_dpd", "amt_30_plus", "num_open_invoices",
-         "oldest_invoice_age"]
+_CORR = ["total_outstanding", "num_open_invoices", "max_dpd", "avg_dpd", "amt_30_plus", "amt_60_plus",
+         "amt_90_plus", "oldest_invoice_age", "avg_invoice_age"]
 
 
 @query("a36_correlation_pairs", uses="expo", spec="corr:6", sql=f"""
 WITH e AS (SELECT row_number() OVER () AS r, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _CORR)}
     FROM expo WHERE total_outstanding > 0),
   l AS (UNPIVOT e ON {', '.join(_CORR)} INTO NAME feature VALUE v),
-  t AS (SELECT feature FROM l GROUP BY feature ORDER BY var_samp(v) DESC LIMIT 4)
+  t AS (SELECT feature FROM l GROUP BY feature ORDER BY var_samp(v) DESC LIMIT 25)
 SELECT a.feature AS feature_a, b.feature AS feature_b, corr(a.v, b.v) AS corr
 FROM (SELECT * FROM l SEMI JOIN t USING (feature)) a JOIN (SELECT * FROM l SEMI JOIN t USING (feature)) b
   USING (r) GROUP BY 1, 2""")
 def _(spark, path):
-    return diag.correlation_pairs(stored(labelled(spark, path).select(*_CORR)), _CORR, top=4)
+    return diag.correlation_pairs(stored(labelled(spark, path).select(*_CORR)), _CORR)
 
 
 @query("a37_missing_shares", uses="raw", spec="share:9", sql="""
@@ -588,7 +587,9 @@ def _(spark, path):
     return recon.key_differences(*versions(spark, path), _KEYS)
 
 
-@query("q02_shared_numeric_columns")
+@query("q02_shared_numeric_columns", uses="oldp", sql="""
+SELECT count(*) AS n_rows, count(total_outstanding) AS total_outstanding, count(max_dpd) AS max_dpd,
+  count(num_open_invoices) AS num_open_invoices, count(amt_90_plus) AS amt_90_plus FROM oldp""")
 def _(spark, path):
     old, new = versions(spark, path)
     names = recon.shared_numeric(old, new)
@@ -638,16 +639,21 @@ def _(spark, path):
     return diag.label_checks(labelled(spark, path))
 
 
-@query("q09_required_columns")
+@query("q09_required_columns", uses="train", sql="""
+SELECT count(*) AS n_rows, 'no_such_feature' AS missing FROM train""")
 def _(spark, path):
     panel = training(spark, path)
-    missing = recon.missing_columns(panel, [*sv.NUMERIC_FEATURES, "target", "country"])
+    missing = recon.missing_columns(panel, [*sv.NUMERIC_FEATURES, "target", "country", "no_such_feature"])
     return panel.agg(F.count("*").alias("n_rows")).withColumn("missing", F.lit(",".join(missing)))
 
 
 @query("q10_score_checks", uses="scored", sql="""
-SELECT count(*) AS scored_rows, count(*) FILTER (score IS NULL OR score < 0 OR score > 1) AS bad_scores,
-  count(*) AS input_rows, 1 AS complete FROM scored""")
+SELECT count(*) FILTER (customer_id NOT LIKE '%7') AS scored_rows,
+  count(*) FILTER (customer_id NOT LIKE '%7' AND (customer_id LIKE '%3' OR score IS NULL OR score < 0 OR score > 1)) AS bad_scores,
+  count(*) AS input_rows, CASE WHEN count(*) FILTER (customer_id LIKE '%7') = 0 THEN 1 ELSE 0 END AS complete FROM scored""")
 def _(spark, path):
+    """A scored table with faults on purpose: rows left out, and scores out of range."""
     rows = scored_table(spark, path)
-    return diag.score_checks(rows, rows)
+    spoilt = F.when(F.col("customer_id").like("%3"), F.col("score") + 1.5).otherwise(F.col("score"))
+    faulty = rows.filter(~F.col("customer_id").like("%7")).withColumn("score", spoilt)
+    return diag.score_checks(faulty, rows)

@@ -67,7 +67,7 @@ def _(spark, path):
     return sim.median_imputed(long)
 
 
-@query("g01_standardized_vectors", uses="zs", spec="value:6 z:6",
+@query("g01_standardized_vectors", uses="zs", spec="value:4 z:6",
        sql="SELECT country, feature, value, z FROM zs")
 def _(spark, path):
     return zs_of(spark, path)

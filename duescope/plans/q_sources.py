@@ -504,7 +504,8 @@ def _(spark, path):
 # schema checks that SQL cannot state
 
 
-@query("u04_train_serve_schema_difference")
+@query("u04_train_serve_schema_difference", uses="train", sql=f"""
+SELECT count(*) AS train_rows, {len(sv.NUMERIC_FEATURES)} AS n_features, '' AS train_only, '' AS serve_only FROM train""")
 def _(spark, path):
     train, serve = training(spark, path), serving(spark, path)
     difference = assemble.schema_difference(train, serve)
@@ -514,14 +515,23 @@ def _(spark, path):
         side: F.lit(",".join(missing)) for side, missing in difference.items()})
 
 
-@query("p27_direction_prior")
+_RISKIER = "dpd|amt_.._plus|pct_.._plus|age$|days_to_pay|last_payment|dunning|broken|dispute|utilization"
+_SAFER = "on_time|kept"
+
+
+@query("p27_direction_prior", uses="train", spec="correlation:6", sql=f"""
+SELECT feature, CASE WHEN isnan(c) THEN NULL ELSE c END AS correlation,
+  CASE WHEN regexp_matches(feature, '{_SAFER}') THEN -1 WHEN regexp_matches(feature, '{_RISKIER}') THEN 1 ELSE 0 END AS direction
+FROM (SELECT feature, corr(v, target) AS c FROM
+  (UNPIVOT (SELECT target, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in sv.NUMERIC_FEATURES)} FROM train)
+    ON {', '.join(sv.NUMERIC_FEATURES)} INTO NAME feature VALUE v) GROUP BY feature)""")
 def _(spark, path):
     """Correlation sign of each feature with the label beside its prior direction."""
     from duescope.operators.directions import direction_prior
 
     train = training(spark, path)
     names = assemble.feature_names(train)
-    stats = train.agg(*[F.corr(F.col(n).cast("double"), F.col("target")).alias(n) for n in names])
+    stats = train.agg(*[columns.correlation(F.col(n), F.col("target")).alias(n) for n in names])
     long = stats.unpivot([], names, "feature", "correlation")
     return long.withColumn("direction", direction_prior(F.col("feature")))
 

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 
 from duescope.operators import evaluate as ev
 from duescope.operators import explain, score, splits, train
+from duescope.plans import fixtures as fx
 from duescope.plans import sqlviews as sv
 from duescope.plans.q_features import labelled, serving, training
 from duescope.plans.registry import query
 from duescope.storage import new_path, stored
 
-SETTINGS = train.TrainSettings(
-    trials_full=0, trials_small=0, n_splits=2, n_seeds=2, max_iter=3, own_threshold_positives=20)
-PARAMS = train.TreeParams(max_iter=5, max_depth=3)
+# The defaults of TrainSettings search 120 or 30 candidates of up to 500 rounds, hours of fitting
+# for a query; the registered ones search two of up to eight rounds. All their rows are used.
+SETTINGS = train.TrainSettings(trials_full=2, trials_small=2, n_splits=2, n_seeds=2, max_iter=8)
+PARAMS = train.TreeParams(max_iter=8, max_depth=3)
 CLUSTERS = {a: [a + b for b in "ABCDE"] for a in "ABCDE"}
 _IDS = ["customer_id", "snapshot_date", "country"]
 
@@ -36,7 +38,10 @@ def split_and_fit(spark, path):
     return rows, dev, features
 
 
-@query("m01_feature_list")
+@query("m01_feature_list", uses="train", sql=f"""
+SELECT n_rows, feature, nonzero_rows FROM (UNPIVOT (SELECT (SELECT count(*) FROM train) AS n_rows,
+  {', '.join(f'count(*) FILTER ({c} <> 0) AS {c}' for c in sv.NUMERIC_FEATURES)} FROM train)
+  ON {', '.join(sv.NUMERIC_FEATURES)} INTO NAME feature VALUE nonzero_rows)""")
 def _(spark, path):
     rows = training(spark, path)
     names = train.feature_list(rows)
@@ -127,13 +132,45 @@ def _(spark, path):
     stopped = train.fit_ensemble(train.weighted(dev, PARAMS), features, PARAMS, 1, role="role")
     locked = replace(PARAMS, max_iter=max(1, stopped.trees))
     refit = train.fit_ensemble(train.weighted(rows, locked), features, locked, 1)
-    target = new_path(spark, "model")
-    train.save_ensemble(refit, target)
-    loaded = train.load_ensemble(target, features, 1)
-    return loaded.raw(rows).groupBy("country").agg(
+    return refit.raw(rows).groupBy("country").agg(
         F.count("*").alias("n"), F.avg("score").alias("mean_score"),
         F.avg(F.col("target").cast("double")).alias("positive_rate")).withColumn(
-        "trees", F.lit(loaded.trees))
+        "trees", F.lit(refit.trees))
+
+
+_ROWS_BY_COUNTRY = """
+SELECT country, count(*) AS n, count(*) FILTER (target = 1) AS positives, 0 AS differing, 0 AS out_of_range
+FROM lab GROUP BY country"""
+
+
+@query("m11_saved_model_scores_alike", uses="lab", sql=_ROWS_BY_COUNTRY)
+def _(spark, path):
+    """A model saved and loaded, calibrator included, gives the scores it gave."""
+    rows = panel(spark, path)
+    model = train.train_model(rows, "pooled", replace(SETTINGS, n_seeds=1))
+    target = new_path(spark, "model")
+    train.save_model(model, target)
+    loaded = train.load_model(spark, target)
+    both = loaded.production.score(model.production.score(rows).withColumnRenamed("score", "saved"))
+    return both.groupBy("country").agg(
+        F.count("*").alias("n"), F.count_if(F.col("target") == 1).alias("positives"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("saved"))).alias("differing"),
+        F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("out_of_range"))
+
+
+@query("m13_routing_rows_from_training", uses="lab", sql="""
+SELECT c.country, substr(c.country, 1, 1) AS cluster, 'risk_' || substr(c.country, 1, 1) AS model_name, 1 AS has_thresholds,
+  n AS trained_rows, 1 AS n_seeds, '2001-08-01' AS refresh_date
+FROM (SELECT chr(CAST(65 + a AS INTEGER)) || chr(CAST(65 + b AS INTEGER)) AS country FROM range(5) x(a), range(5) y(b)) c
+JOIN (SELECT substr(country, 1, 1) AS cluster, count(*) AS n, count(*) FILTER (target = 1) AS p FROM lab GROUP BY 1) s
+  ON s.cluster = substr(c.country, 1, 1) WHERE n >= 100 AND p >= 10""")
+def _(spark, path):
+    models = train.train_per_cluster(panel(spark, path), CLUSTERS, replace(SETTINGS, n_seeds=1))
+    rows = train.routing_rows(models, CLUSTERS, fx.ANCHOR)
+    return rows.select(
+        "country", "cluster", "model_name",
+        (F.col("threshold").isNotNull() & F.col("cluster_threshold").isNotNull()).cast("int").alias("has_thresholds"),
+        "trained_rows", "n_seeds", "refresh_date")
 
 
 @query("m12_pooled_fixed_parameters")
@@ -145,8 +182,7 @@ def _(spark, path):
 @query("w12_leave_one_country_out_fit")
 def _(spark, path):
     rows = clustered(spark, path)
-    params = replace(PARAMS, max_iter=1, max_depth=2)
-    scored = stored(train.leave_one_out_scores(rows, train.feature_list(rows), params))
+    scored = stored(train.leave_one_out_scores(rows, train.feature_list(rows), PARAMS))
     return ev.ranking_metrics(ev.score_points(scored, ["country"]), ["country"])
 
 
@@ -160,16 +196,65 @@ def _(spark, path):
     return scored.select(*_IDS, "score", "threshold_used", "binary_pred", "predicted_class")
 
 
-@query("x02_x11_routed_scores_with_output_columns")
-def _(spark, path):
+def routed_scores(spark, path):
+    """Serving rows scored by the model of their cluster; one cluster is left to the global model."""
     rows = panel(spark, path)
-    models = train.train_per_cluster(rows, CLUSTERS, replace(SETTINGS, n_seeds=1, max_iter=2))
+    settings = replace(SETTINGS, n_seeds=1)
+    trained = {k: v for k, v in CLUSTERS.items() if k != "E"}
+    models = train.train_per_cluster(rows, trained, settings)
     today = stored(serving(spark, path, only_exposed=True))
-    scored = stored(train.score_clusters(today, models, CLUSTERS).withColumnRenamed(
-        "score", "risk_score"))
-    features = train.feature_list(rows)
-    weights, means = explain.marginal_weights(rows, features)
+    scored = train.score_clusters(today, models, CLUSTERS, train.train_global(rows, CLUSTERS, settings))
+    return stored(scored.withColumnRenamed("score", "risk_score")), train.feature_list(rows)
+
+
+@query("x02_x11_routed_scores_with_output_columns")
+def _(spark, path):
+    scored, features = routed_scores(spark, path)
+    weights, means, r2 = explain.surrogate(scored, features, "risk_score")
     told = explain.explanations(explain.top_drivers(
         explain.linear_contributions(scored, weights, means)))
     banded = score.with_tertiles(told.drop("drivers"), "country", "risk_score")
-    return score.output_table(banded.withColumn("model_features", F.lit(", ".join(features))))
+    out = score.output_table(banded.withColumn("model_features", F.lit(", ".join(features))))
+    return out.withColumn("surrogate_r2", F.lit(r2))
+
+
+@query("x02_every_row_is_scored", uses="serve", sql="""
+SELECT country, CASE WHEN country LIKE 'E%' THEN 'global' ELSE 'cluster' END AS status, count(*) AS n_rows,
+  0 AS unscored, 0 AS out_of_range, 0 AS misclassified
+FROM serve WHERE total_outstanding > 0 GROUP BY 1, 2""")
+def _(spark, path):
+    scored, _ = routed_scores(spark, path)
+    s, at = F.col("risk_score"), F.col("threshold_used")
+    return scored.groupBy("country", "status").agg(
+        F.count("*").alias("n_rows"), F.count_if(s.isNull() | at.isNull()).alias("unscored"),
+        F.count_if(~F.coalesce(s.between(0, 1), F.lit(False))).alias("out_of_range"),
+        F.count_if((F.col("binary_pred") == 1) != (s >= at)).alias("misclassified"))
+
+
+@query("x03_global_model_scores", uses="serve", sql="""
+SELECT country, count(*) AS n_rows, 0 AS out_of_range, 1 AS thresholds FROM serve WHERE total_outstanding > 0 GROUP BY 1""")
+def _(spark, path):
+    """Serving rows scored by the saved and loaded global model at its pooled threshold."""
+    model = train.train_global(panel(spark, path), CLUSTERS, replace(SETTINGS, n_seeds=1))
+    target = new_path(spark, "model")
+    train.save_model(model, target)
+    scored = train.score_clusters(serving(spark, path, only_exposed=True), {}, CLUSTERS, train.load_model(spark, target))
+    return scored.groupBy("country").agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("out_of_range"),
+        F.count_distinct("threshold_used").alias("thresholds"))
+
+
+@query("x04_surrogate_contributions_add_up", uses="lab", sql="SELECT count(*) AS n_rows, 0 AS off, 1 AS r2_in_range FROM lab")
+def _(spark, path):
+    """Contributions and the mean make the surrogate's score for every row."""
+    rows, _dev, features = split_and_fit(spark, path)
+    model = train.fit_ensemble(train.weighted(rows, PARAMS), features, PARAMS, 1)
+    scored = stored(model.raw(rows))
+    weights, means, r2 = explain.surrogate(scored, features)
+    told = explain.linear_contributions(scored, weights, means)
+    added = F.aggregate("drivers", F.lit(0.0), lambda a, d: a + d["contribution"])
+    plain = sum((F.lit(w) * F.col(f).cast("double") for f, w in weights.items()), F.lit(0.0))
+    centre = sum(w * means[f] for f, w in weights.items())
+    return told.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.abs(added - (plain - centre)) > 1e-6).alias("off"),
+        F.lit(int(0 <= r2 <= 1)).alias("r2_in_range"))

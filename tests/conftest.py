@@ -6,14 +6,19 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from duescope.storage import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]").appName("duescope-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", shared.as_uri())
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
