@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -31,9 +32,13 @@ from duescope.llm.labelled import FIT_ROWS, fit_rows
 from duescope.storage import stored
 
 LEXICON = 5_000  # terms at most, best first
+CANDIDATES = 50_000  # terms of toxic documents that are looked into, the most frequent
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # lengths of word beginnings that may be terms
 SURE = 3.5  # standard errors: keeps chance associations out of the lexicon
 LIKELY = 0.35  # the least share of toxic documents at that confidence
+COUNTED, REMEMBERED = 200_000, 200_000  # terms a task counts before it hands them on; words whose matches it keeps
+PIECE = 1 << 20  # bytes of texts that are looked at together
+COPY_SHINGLE = 5  # words of the shingles that copies are known by
 WINDOW = 5  # words on each side of a hit that are searched for reported speech
 FEATURES = 5
 # Words of reported speech
@@ -139,7 +144,7 @@ class Matches(dict):
         self.automaton, self.harmless = automaton, harmless
 
     def __missing__(self, word: bytes) -> tuple[str, int] | None:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         w = word.decode("utf-8", "replace").lower()
         found = self.automaton.match(w)
@@ -193,60 +198,83 @@ def features(text: bytes | None, matches: Matches, lex: Lexicon) -> list[float]:
     return [most, math.log1p(own), math.log1p(near), math.log1p(quoted), math.sqrt(n / len(words))]
 
 
-def _associations(fit: DataFrame) -> DataFrame:
-    """term, kind (0: a word, n: a beginning of n words or more), toxic, harmless: documents of
-    the labelled rows by label."""
+def _one_of_copies(fit: DataFrame) -> DataFrame:
+    """One row for each smallest hash of a row's word shingles: of copies and near copies few
+    stay, so that words of a text that is copied often don't pass for frequent ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for b in pieces(batches, PIECE):
+            keys = []
+            for text in utf8(b.column(0)):
+                w = letter_words(text)
+                shingles = zip(*(w[i:] for i in range(COPY_SHINGLE))) if len(w) >= COPY_SHINGLE else [w]
+                keys.append(min(xxhash.xxh64_intdigest(b" ".join(x)) >> 1 for x in shingles))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], ["text", "y", "key"])
+
+    keyed = fit.select("text", "y").mapInArrow(run, "text string, y double, key long")
+    return stored(keyed.groupBy("key").agg(F.min(F.struct("text", "y")).alias("r")).select("r.*"))
+
+
+def _documents_with(texts: DataFrame, among: frozenset[tuple[str, int]] | None = None) -> DataFrame:
+    """term, kind (0: a word, k: a beginning of k words or more), n: documents of `texts` (text)
+    that hold it; only terms in `among`, if given."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
 
         def table() -> pa.RecordBatch:
-            keys = list(counts[0].keys() | counts[1].keys())
             return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                 *[pa.array([c[k] for k in keys], pa.int64()) for c in reversed(counts)]],
-                ["term", "kind", "toxic", "harmless"])
+                [pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.int32()),
+                 pa.array(list(counts.values()), pa.int64())], ["term", "kind", "n"])
 
-        for b in pieces(batches):
-            for text, y in zip(utf8(b.column(0)), b.column(1).to_pylist()):
+        for b in pieces(batches, PIECE):
+            for text in utf8(b.column(0)):
                 words = [w.decode("utf-8", "replace").lower() for w in letter_words(text)]
                 starts = Counter(w[:n] for w in words for n in BEGINNINGS if len(w) >= n)
-                label = counts[int(y > 0)]
-                label.update((w, 0) for w in set(words) if 3 <= len(w) <= 30)
-                label.update((s, 1) for s in starts)
-                label.update((s, 2) for s, often in starts.items() if often > 1)
-            if sum(map(len, counts)) > 500_000:
-                yield table()
-                counts[0].clear()
-                counts[1].clear()
+                terms = {(w, 0) for w in words if 3 <= len(w) <= 30}
+                terms.update((s, 1) for s in starts)
+                terms.update((s, 2) for s, often in starts.items() if often > 1)
+                counts.update(terms if among is None else terms & among)
+                if len(counts) > COUNTED:
+                    yield table()
+                    counts.clear()
         yield table()
 
-    found = fit.mapInArrow(run, "term string, kind int, toxic long, harmless long")
-    return found.groupBy("term", "kind").agg(F.sum("toxic").alias("toxic"), F.sum("harmless").alias("harmless"))
+    return texts.mapInArrow(run, "term string, kind int, n long").groupBy("term", "kind").agg(F.sum("n").alias("n"))
 
 
 def lexicon(fit: DataFrame) -> Lexicon:
-    """At most LEXICON terms from labelled rows, surest first. A term that an earlier beginning
-    covers is left out, and so is a beginning that is no surer than an earlier word of it. A
-    term weighs the log of its odds over those of all labelled rows."""
-    n = F.col("toxic") + F.col("harmless")
-    p, z2 = F.col("toxic") / n, SURE ** 2
-    low = (p + z2 / (2 * n) - SURE * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
-    best = (_associations(fit).withColumn("low", low).where(F.col("low") >= LIKELY)
-            .orderBy(F.desc("low"), "kind", F.length("term"), "term").limit(LEXICON).collect())
+    """At most LEXICON terms from labelled rows, surest first.
+
+    Terms of so many toxic documents that they could be sure are candidates, the CANDIDATES
+    most frequent; then the other documents that hold them are counted. A term that an earlier
+    beginning covers is left out, and so is a beginning that is no surer than an earlier word of
+    it. A term weighs the log of its odds over those of all labelled rows.
+    """
+    z2 = SURE ** 2
+    least = math.ceil(LIKELY * z2 / (1 - LIKELY))
+    toxic = {(r.term, r.kind): r.n for r in _documents_with(fit.where("y > 0").select("text")).where(F.col("n") >= least)
+             .orderBy(F.desc("n"), "kind", "term").limit(CANDIDATES).collect()}
+    harmless = {(r.term, r.kind): r.n for r in _documents_with(fit.where("y = 0").select("text"), frozenset(toxic)).collect()}
     share = fit.agg(F.avg("y")).first()[0]
+
+    def low(key: tuple[str, int]) -> float:
+        n = toxic[key] + harmless.get(key, 0)
+        p = toxic[key] / n
+        return (p + z2 / (2 * n) - SURE * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+    sure = sorted((-round(low(k), 9), k[1], len(k[0]), k[0]) for k in toxic if low(k) >= LIKELY)[:LEXICON]
     out, said = Lexicon({}, {}, set()), {}
-    for r in best:
-        covered = any(out.terms.get(r.term[:k], 0) is None for k in BEGINNINGS if k <= len(r.term))
-        if covered or r.kind and said.get(r.term, 0) >= r.low - 0.02:
+    for minus, kind, _, term in sure:
+        covered = any(out.terms.get(term[:k], 0) is None for k in BEGINNINGS if k <= len(term))
+        if covered or kind and said.get(term, 0) >= -minus - 0.02:
             continue
-        if r.term not in out.terms:
-            out.terms[r.term] = None if r.kind else edits(r.term)
-            odds = math.log((r.toxic + 0.5) / (r.harmless + 0.5)) - math.log(share / (1 - share))
-            out.weights[r.term] = max(0.1, odds)
-            out.twice.update({r.term} if r.kind == 2 else ())
-        if not r.kind:
+        if term not in out.terms:
+            out.terms[term] = None if kind else edits(term)
+            odds = math.log((toxic[term, kind] + 0.5) / (harmless.get((term, kind), 0) + 0.5))
+            out.weights[term] = max(0.1, odds - math.log(share / (1 - share)))
+            out.twice.update({term} if kind == 2 else ())
+        if not kind:
             for k in BEGINNINGS:
-                said[r.term[:k]] = max(said.get(r.term[:k], 0), r.low)
+                said[term[:k]] = max(said.get(term[:k], 0), -minus)
     return out
 
 
@@ -257,7 +285,7 @@ def _scanned(rows: DataFrame, lex: Lexicon, harmless: frozenset[str]) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = Matches(Automaton(lex.terms), harmless)
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             found = [features(t, matches, lex) for t in utf8(b.column(len(names)))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.float64()))], [*names, "features"])
 
@@ -268,7 +296,7 @@ def _harmless(fit: DataFrame, lex: Lexicon) -> frozenset[str]:
     """Words of harmless documents that are only a misspelling away from a term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = Matches(Automaton(lex.terms), frozenset())
-        for b in pieces(batches):
+        for b in pieces(batches, PIECE):
             words = {w for t in utf8(b.column(0)) for w in set(letter_words(t))}
             near = {w.decode("utf-8", "replace").lower() for w in words if (m := matches[w]) and m[1]}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(near), pa.string())], ["word"])
@@ -284,7 +312,7 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
     no lexicon, and every score is the share of toxic labels (0 without any label). Repeated rows
     score alike. An empty table gives an empty result. Other columns are ignored.
     """
-    fit = fit_rows(docs, labels, "toxic", rows)
+    fit = _one_of_copies(fit_rows(docs, labels, "toxic", rows))
     share = fit.agg(F.coalesce(F.avg((F.col("y") > 0).cast("double")), F.lit(0.0))).first()[0]
     everything = docs.select("doc_id", "text")
     if not 0 < share < 1:
