@@ -18,9 +18,11 @@ def share(num: Column, den: Column) -> Column:
 
 
 def correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation, null where one side is constant (an error for corr in ANSI mode)."""
+    """Pearson correlation over the rows where both are known; null where one side is constant,
+    for which `corr` is a division by zero in ANSI mode."""
     x, y = x.cast("double"), y.cast("double")
-    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def term_days(net: Column, discount_2: Column, discount_1: Column) -> Column:

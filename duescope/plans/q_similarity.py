@@ -40,12 +40,11 @@ _RANK = "row_number() OVER (PARTITION BY country ORDER BY round({m}, 12), neighb
 
 
 def vector_long(rows, keys):
-    rows = stored(rows)
     return profile.behaviour_long(profile.country_vector(rows, keys), keys=keys)
 
 
 def zs_of(spark, path):
-    return stored(sim.standardized(vector_long(customers(spark, path), ["country"])))
+    return stored(sim.standardized(vector_long(stored(customers(spark, path)), ["country"])))
 
 
 def pairs_of(spark, path):
@@ -203,10 +202,10 @@ _GAPS = """(SELECT a.feature, abs(a.z - b.z) AS gap FROM zs a JOIN zs b USING (f
 
 
 @query("g15_why_similar", uses="zs", spec="gap:6", sql=f"""
-(SELECT feature, gap, 'closest' AS side FROM {_GAPS} ORDER BY round(gap, 12), feature LIMIT 5)
-UNION ALL (SELECT feature, gap, 'farthest' AS side FROM {_GAPS} ORDER BY round(gap, 12) DESC, feature LIMIT 5)""")
+(SELECT feature, gap, 'closest' AS side FROM {_GAPS} ORDER BY round(gap, 12), feature LIMIT 10)
+UNION ALL (SELECT feature, gap, 'farthest' AS side FROM {_GAPS} ORDER BY round(gap, 12) DESC, feature LIMIT 10)""")
 def _(spark, path):
-    return sim.why_similar(zs_of(spark, path), "NATION_3", "NATION_8", 5)
+    return sim.why_similar(zs_of(spark, path), "NATION_3", "NATION_8", 10)
 
 
 @query("g17_distance_matrix", uses="pairs", spec="NATION_0:6 NATION_1:6 NATION_2:6", sql="""
@@ -278,7 +277,7 @@ def _(spark, path):
 
 @query("g12_clustering_candidates")
 def _(spark, path):
-    return sim.cluster_candidates(zs_of(spark, path), 2, 5)
+    return sim.cluster_candidates(zs_of(spark, path), 2, 8)
 
 
 @query("g18_behaviour_map")

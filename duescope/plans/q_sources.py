@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+
 from pyspark.sql import functions as F
 
 from duescope.functions import bands, columns, dates, encoding, weights
@@ -104,6 +107,26 @@ def _(spark, path):
     return view.mode_items(fx.raw_view(spark, path), CFG, "serve", ["CD"])
 
 
+def _clean(spark, path):
+    target = new_path(spark, "view")
+    view.store_clean(fx.raw_view(spark, path), CFG, target)
+    return target
+
+
+@query("s07_single_country_partition", uses="typed", spec=_VIEW_SPEC, sql="""
+SELECT * REPLACE (upper(substr(company_code, 1, 2)) AS country) FROM typed
+WHERE upper(substr(company_code, 1, 2)) = 'CD'""")
+def _(spark, path):
+    return view.clean_items(spark, _clean(spark, path), CFG, "serve", ["CD"])
+
+
+@query("s05_train_scan_by_month", uses="typed", spec=_VIEW_SPEC, sql="""
+SELECT * REPLACE (upper(substr(company_code, 1, 2)) AS country) FROM typed
+WHERE baseline_date >= DATE '2001-08-01' - 730""")
+def _(spark, path):
+    return view.clean_items(spark, _clean(spark, path), CFG, "train")
+
+
 @query("s08_dunning_event_scan", uses="letters", spec="dunning_date:d",
        sql="SELECT * FROM letters")
 def _(spark, path):
@@ -124,10 +147,10 @@ def _(spark, path):
 # sinks write the given tables' derivations and read them back
 
 
-@query("s12_partition_overwrite_sink", uses="items", spec="invoice_amount:2", sql="""
-SELECT customer_id, invoice_id, line_item, invoice_amount, country FROM items""")
+@query("s12_partition_overwrite_sink", uses="items_all", spec="invoice_amount:2", sql="""
+SELECT customer_id, invoice_id, line_item, invoice_amount, country FROM items_all""")
 def _(spark, path):
-    rows = fx.items(spark, path).select(
+    rows = fx.items(spark, path, mode="serve").select(
         "customer_id", "invoice_id", "line_item", "invoice_amount", "country")
     target = new_path(spark, "sink")
     for _run in range(2):  # a re-run replaces partitions instead of duplicating rows
@@ -135,10 +158,10 @@ def _(spark, path):
     return spark.read.schema(rows.schema).parquet(target)
 
 
-@query("s12_overwrite_then_append_sink", uses="items", spec="invoice_amount:2", sql="""
-SELECT customer_id, invoice_id, line_item, invoice_amount, source FROM items""")
+@query("s12_overwrite_then_append_sink", uses="items_all", spec="invoice_amount:2", sql="""
+SELECT customer_id, invoice_id, line_item, invoice_amount, source FROM items_all""")
 def _(spark, path):
-    rows = fx.items(spark, path).select(
+    rows = fx.items(spark, path, mode="serve").select(
         "customer_id", "invoice_id", "line_item", "invoice_amount", "source")
     target = new_path(spark, "sink")
     for i, source in enumerate((lineitems.OPEN, lineitems.CLEARED)):
@@ -154,10 +177,10 @@ def _(spark, path):
     return sinks.stamped(out, fx.ANCHOR, country="ZZ")
 
 
-@query("s16_csv_sink", uses="inv", spec="invoice_amount:2", sql="""
-SELECT customer_id, invoice_id, round(invoice_amount, 2) AS invoice_amount FROM inv""")
+@query("s16_csv_sink", uses="inv_all", spec="invoice_amount:2", sql="""
+SELECT customer_id, invoice_id, round(invoice_amount, 2) AS invoice_amount FROM inv_all""")
 def _(spark, path):
-    rows = fx.invoices(spark, path).select(
+    rows = fx.invoices(spark, path, mode="serve").select(
         "customer_id", "invoice_id", F.round("invoice_amount", 2).alias("invoice_amount"))
     target = new_path(spark, "sink")
     sinks.write_csv(rows, target)
@@ -479,11 +502,11 @@ def _(spark, path):
     return panel.groupBy("snapshot_date").agg(F.count("*").alias("customers"))
 
 
-@query("j10_absent_from_view", uses="master items", sql="""
-SELECT customer_id FROM master WHERE customer_id NOT IN (SELECT customer_id FROM items
+@query("j10_absent_from_view", uses="master items_all", sql="""
+SELECT customer_id FROM master WHERE customer_id NOT IN (SELECT customer_id FROM items_all
   WHERE source = 'BSID')""")
 def _(spark, path):
-    open_lines = fx.items(spark, path).filter(F.col("source") == "BSID")
+    open_lines = fx.items(spark, path, mode="serve").filter(F.col("source") == "BSID")
     return lookups.absent(events.customer_master(fx.raw_master(spark, path)), open_lines,
                           ["customer_id"]).select("customer_id")
 
@@ -536,41 +559,48 @@ def _(spark, path):
     return long.withColumn("direction", direction_prior(F.col("feature")))
 
 
+def _dropped(spark, schema):
+    with contextlib.suppress(Exception):  # the session may have gone before
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
 def _in_new_schema(spark):
     """A schema of its own whose tables live on the shared storage."""
     path = new_path(spark, "schema")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{path}'")
+    atexit.register(_dropped, spark, name)  # the result is still to be read from it
     return name
 
 
 _INV3 = "customer_id, invoice_id, round(invoice_amount, 2) AS invoice_amount"
 
 
-@query("s11_table_overwrite_sink", uses="inv", spec="invoice_amount:2",
-       sql=f"SELECT {_INV3} FROM inv")
+@query("s11_table_overwrite_sink", uses="inv_all", spec="invoice_amount:2",
+       sql=f"SELECT {_INV3} FROM inv_all")
 def _(spark, path):
     schema = _in_new_schema(spark)
-    rows = stored(fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount"))
+    rows = stored(fx.invoices(spark, path, mode="serve").select("customer_id", "invoice_id", "invoice_amount"))
     table = f"{schema}.invoices"
     sinks.overwrite_table(rows.drop("invoice_amount"), table)
     sinks.overwrite_table(rows, table)  # replaces data and schema
     return spark.table(table)
 
 
-@query("s13_external_table", uses="inv", spec="invoice_amount:2", sql=f"SELECT {_INV3} FROM inv")
+@query("s13_external_table", uses="inv_all", spec="invoice_amount:2", sql=f"SELECT {_INV3} FROM inv_all")
 def _(spark, path):
     schema, location = _in_new_schema(spark), new_path(spark, "external")
-    fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount").write.parquet(
+    fx.invoices(spark, path, mode="serve").select("customer_id", "invoice_id", "invoice_amount").write.parquet(
         location)
     sinks.register_external(spark, f"{schema}.invoices", location)
     return spark.table(f"{schema}.invoices")
 
 
-@query("s14_staging_and_production", uses="inv", spec="invoice_amount:2",
-       sql=f"SELECT {_INV3} FROM inv")
+@query("s14_staging_and_production", uses="inv_all", spec="invoice_amount:2",
+       sql=f"SELECT {_INV3} FROM inv_all")
 def _(spark, path):
     schema = _in_new_schema(spark)
-    rows = fx.invoices(spark, path).select("customer_id", "invoice_id", "invoice_amount")
+    rows = fx.invoices(spark, path, mode="serve").select("customer_id", "invoice_id", "invoice_amount")
     written = sinks.publish(rows, f"{schema}.staged", f"{schema}.live", promote=True)
     return spark.table(written[-1])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duescope.config import PanelConfig
@@ -51,6 +53,30 @@ def only_countries(df: DataFrame, countries: list[str] | None) -> DataFrame:
     return df.filter(F.col("country").isin([c.upper() for c in countries]))
 
 
+def store_clean(raw: DataFrame, cfg: PanelConfig, path: str) -> None:
+    """The typed view as a table: dates as dates, the country worked out once, files by country
+    and month of the baseline. Scans of it are pruned by folder and by column statistics."""
+    clean = with_country(typed_view(raw), cfg).withColumn("month", F.date_format("baseline_date", "yyyy-MM"))
+    # a country's month of any size is written by several tasks
+    (clean.repartition("country", "month", F.pmod(F.xxhash64("customer_id", "invoice_id"), F.lit(4)))
+     .sortWithinPartitions("country", "month", "customer_id")
+     .write.partitionBy("country", "month").mode("overwrite").parquet(path))
+
+
+def clean_items(spark: SparkSession, path: str, cfg: PanelConfig, mode: str,
+                countries: list[str] | None = None) -> DataFrame:
+    """`mode_items` over what `store_clean` wrote: the same rows from the folders they can be in."""
+    # the folder names are text, so that a country such as "NA" or a month stays as written
+    stored_view = spark.read.option("mergeSchema", "false").parquet(path).withColumns({
+        c: F.col(c).cast("string") for c in ("country", "month")})
+    items = only_countries(stored_view, countries)
+    if mode == "train" and cfg.lookback_days is not None:
+        floor = cfg.anchor - dt.timedelta(days=cfg.lookback_days)
+        items = items.filter(F.col("month") >= floor.strftime("%Y-%m"))
+    items = items.drop("month")
+    return within_lookback(items, cfg) if mode == "train" else items
+
+
 def view_items(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
     return within_lookback(typed_view(raw), cfg)
 
