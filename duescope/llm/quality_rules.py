@@ -30,6 +30,7 @@ STEPS = 4
 PRIOR = 50.0
 OUTSIDE = 1e-9  # chance beyond the cut of a normal vector
 GROUP = ["g_lang", "g_source"]
+PER_FILE = 5_000  # groups in a file of estimates, so that their size tells Spark how to join them
 #: The vector: name, and the least standard deviation it is given.
 VECTOR = {"size": 1.0, "word_length": 1.0, "symbols": 0.035, "dup_lines": 0.1, "repeats": 0.1, "upper": 0.06}
 DIM = len(VECTOR)
@@ -83,7 +84,11 @@ def _factor(cov: dict[tuple[int, int], Column]) -> dict[tuple[int, int], Column]
     return out
 
 
-def _estimates(sums: DataFrame, factor: float) -> DataFrame:
+def _kept(estimates: DataFrame, groups: int) -> DataFrame:
+    return stored(estimates.repartition(1 + groups // PER_FILE))
+
+
+def _estimates(sums: DataFrame, factor: float, groups: int) -> DataFrame:
     """Group, mean m{i} and Cholesky factor l{i}_{j} from n, s{i} and s{i}_{j} per group."""
     names = ["n", *[f"s{i}" for i in range(DIM)], *[f"s{i}_{j}" for i, j in PAIRS]]
     by_lang = sums.groupBy("g_lang").agg(*[F.sum(c).alias(f"lang_{c}") for c in names])
@@ -97,16 +102,16 @@ def _estimates(sums: DataFrame, factor: float) -> DataFrame:
            for i, j in PAIRS}
     for (i, j), c in _factor(cov).items():
         out = out.withColumn(f"l{i}_{j}", c)
-    return stored(out.select(*GROUP, *[f"m{i}" for i in range(DIM)], *[f"l{i}_{j}" for i, j in PAIRS]))
+    return _kept(out.select(*GROUP, *[f"m{i}" for i in range(DIM)], *[f"l{i}_{j}" for i, j in PAIRS]), groups)
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _start(rows: DataFrame, groups: int) -> DataFrame:
     """Medians, and quartile distances as standard deviations. Values lie on a grid, so the
     exact percentiles keep a bounded number of counts per group."""
     q = rows.groupBy(*GROUP).agg(*[F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i in range(DIM)])
-    return stored(q.select(*GROUP, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIM)], *[
+    return _kept(q.select(*GROUP, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(DIM)], *[
         (F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(floor)) if i == j else F.lit(0.0)).alias(f"l{i}_{j}")
-        for (i, j) in PAIRS for floor in [list(VECTOR.values())[i]]]))
+        for (i, j) in PAIRS for floor in [list(VECTOR.values())[i]]]), groups)
 
 
 def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -121,7 +126,7 @@ def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return out.select(*rows.columns, d2.alias("d2"))
 
 
-def _step(rows: DataFrame, estimates: DataFrame, within: float | None) -> DataFrame:
+def _step(rows: DataFrame, estimates: DataFrame, within: float | None, groups: int) -> DataFrame:
     """Estimates from the nearest SHARE of each group, or from all at distance `within` or less."""
     far = with_distance(rows, estimates).withColumn("bin", F.floor(8 * F.log2(F.col("d2") + 0.001)).cast("int"))
     moments = {f"s{i}": F.sum(f"x{i}") for i in range(DIM)} | {f"s{i}_{j}": F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in PAIRS}
@@ -130,10 +135,11 @@ def _step(rows: DataFrame, estimates: DataFrame, within: float | None) -> DataFr
     if within is None:
         by = Window.partitionBy(*GROUP)
         nearer = F.sum("n").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+        bins = stored(bins)  # summed up by (group, bin) first; only bins of a group meet in its window
         bins = bins.withColumns({"nearer": F.coalesce(nearer, F.lit(0.0)), "all": F.sum("n").over(by)})
         bins = bins.where(F.col("nearer") < SHARE * F.col("all"))
     sums = bins.groupBy(*GROUP).agg(*[F.sum(c).alias(c) for c in ("n", *moments)])
-    return _estimates(sums, consistency(SHARE) if within is None else consistency(0.975))
+    return _estimates(sums, consistency(SHARE) if within is None else consistency(0.975), groups)
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -146,10 +152,11 @@ def judged(docs: DataFrame) -> DataFrame:
     """
     rows = stored(statistics(docs))
     sound = rows.where(~F.col("base_failed"))
-    estimates = _start(sound)
+    groups = sound.select(*GROUP).distinct().count()
+    estimates = _start(sound, groups)
     for _ in range(STEPS):
-        estimates = _step(sound, estimates, None)
-    estimates = _step(sound, estimates, chi2_quantile(0.975, DIM))
+        estimates = _step(sound, estimates, None, groups)
+    estimates = _step(sound, estimates, chi2_quantile(0.975, DIM), groups)
     cut = chi2_quantile(1 - OUTSIDE, DIM)
     final = with_distance(sound, estimates).withColumn("kept", F.col("d2") <= cut)
     failed = rows.where("base_failed").withColumns({"d2": F.lit(None).cast("double"), "kept": F.lit(False)})

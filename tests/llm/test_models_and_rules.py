@@ -53,8 +53,8 @@ def test_base_rules_and_kept(docs, doc_rows):
 def test_distance_is_mahalanobis_under_the_estimate(spark, docs):
     """Distances written as column expressions equal those of the matrix form."""
     rows = stored(quality_rules.statistics(docs)).where("not base_failed")
-    start = quality_rules._start(rows)
-    est = quality_rules._step(rows, start, None)
+    start = quality_rules._start(rows, 9)
+    est = quality_rules._step(rows, start, None, 9)
     params = {(r.g_lang, r.g_source): r for r in est.collect()}
     d = quality_rules.DIM
     for r in quality_rules.with_distance(rows, est).collect():
@@ -69,9 +69,9 @@ def test_concentration_does_not_follow_outliers(spark):
     rng = random.Random(4)
     rows = [(i, "en", "s", *[rng.gauss(0, 1) + (40 if i % 3 == 0 and i % 4 == 0 else 0) for _ in range(quality_rules.DIM)]) for i in range(1200)]
     df = stored(spark.createDataFrame(rows, ["id", "g_lang", "g_source", *[f"x{i}" for i in range(quality_rules.DIM)]]))
-    est = quality_rules._start(df)
+    est = quality_rules._start(df, 1)
     for _ in range(quality_rules.STEPS):
-        est = quality_rules._step(df, est, None)
+        est = quality_rules._step(df, est, None, 1)
     far = quality_rules.with_distance(df, est).where("d2 > 60").select("id").collect()
     assert {r.id for r in far} == {i for i in range(1200) if i % 12 == 0}
 
