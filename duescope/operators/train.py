@@ -10,6 +10,7 @@ import datetime as dt
 import json
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -149,9 +150,18 @@ class Ensemble:
         return spark.createDataFrame(rows, "feature string, importance double")
 
 
+PARALLEL = 4  # fits whose Spark jobs are submitted at the same time
+
+
+def _side_by_side(fn: Callable, tasks: list) -> list:
+    """Results in order; each task only submits Spark jobs, so driver threads are enough."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(fn, tasks))
+
+
 def fit_ensemble(df: DataFrame, features: list[str], params: TreeParams, n_seeds: int,
                  role: str | None = None) -> Ensemble:
-    models = [fit_trees(df, features, params, 42 + 101 * i, role) for i in range(n_seeds)]
+    models = _side_by_side(lambda i: fit_trees(df, features, params, 42 + 101 * i, role), list(range(n_seeds)))
     return Ensemble(features, models)
 
 
@@ -224,16 +234,17 @@ def search(folds: DataFrame, features: list[str], tried: list[TreeParams], penal
     country) for each candidate, best first. `folds` comes from `splits.walk_forward`."""
     folds = stored(folds)
     numbers = [r["fold"] for r in folds.select("fold").distinct().orderBy("fold").collect()]
-    rows = []
-    for i, params in enumerate(tried):
-        for f in numbers:
-            part = folds.filter(F.col("fold") == f)
-            train = weighted(part.filter(F.col("role") == "train"), params, half_life_days)
-            model = Ensemble(features, [fit_trees(train, features, params)])
-            val = model.raw(part.filter(F.col("role") == "val")).withColumnRenamed(
-                "target", "label")
-            value = objective(stored(val.select("country", "label", "score")))
-            rows.append((i, f, float(value if value is not None else 0.0)))
+
+    def tried_on(task: tuple[int, int]) -> tuple[int, int, float]:
+        i, f = task
+        part = folds.filter(F.col("fold") == f)
+        train = weighted(part.filter(F.col("role") == "train"), tried[i], half_life_days)
+        model = Ensemble(features, [fit_trees(train, features, tried[i])])
+        val = model.raw(part.filter(F.col("role") == "val")).withColumnRenamed("target", "label")
+        value = objective(stored(val.select("country", "label", "score")))
+        return i, f, float(value if value is not None else 0.0)
+
+    rows = _side_by_side(tried_on, [(i, f) for i in range(len(tried)) for f in numbers])
     spark = folds.sparkSession
     scores = spark.createDataFrame(rows, "candidate int, fold int, score double")
     summary = scores.groupBy("candidate").agg(
@@ -333,14 +344,13 @@ def train_model(rows: DataFrame, name: str, settings: TrainSettings,
 def train_per_cluster(panel: DataFrame, clusters: dict[str, list[str]], settings: TrainSettings
                       ) -> dict[str, TrainedModel]:
     """One model per cluster of countries, with country one-hots."""
-    out = {}
-    for name, countries in clusters.items():
+    def one(name: str) -> TrainedModel | None:
         pool = encoding.one_hot(
-            panel.filter(F.col("country").isin(countries)), "country", sorted(countries), "country")
-        model = train_model(pool, name, settings)
-        if model is not None:
-            out[name] = model
-    return out
+            panel.filter(F.col("country").isin(clusters[name])), "country", sorted(clusters[name]), "country")
+        return train_model(pool, name, settings)
+
+    trained = zip(clusters, _side_by_side(one, list(clusters)))
+    return {name: model for name, model in trained if model is not None}
 
 
 def train_global(panel: DataFrame, clusters: dict[str, list[str]], settings: TrainSettings
@@ -430,15 +440,19 @@ def leave_one_out_scores(panel: DataFrame, features: list[str], params: TreePara
     """
     panel = stored(panel)
     held = panel.select(pool, "country").distinct().orderBy("country").collect()
-    out = None
-    for r in held:
+
+    def one(r) -> DataFrame | None:
         train = panel.filter((F.col(pool) == r[pool]) & (F.col("country") != r["country"]))
         if train.select("target").distinct().limit(2).count() < 2:
-            continue
+            return None
         model = Ensemble(features, [fit_trees(weighted(train, params), features, params)])
-        scored = model.raw(panel.filter(F.col("country") == r["country"])).select(
+        return model.raw(panel.filter(F.col("country") == r["country"])).select(
             "country", F.col("target").alias("label"), "score")
-        out = scored if out is None else out.unionByName(scored)
+
+    out = None
+    for scored in _side_by_side(one, held):
+        if scored is not None:
+            out = scored if out is None else out.unionByName(scored)
     if out is None:
         raise ValueError("no country can be held out")
     return out
