@@ -8,12 +8,14 @@ the file, so global starts need one small sum per file.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from duescope.llm.common import pieces
 
 END = 0  # the id after each document
+ROWS = 1_000  # documents that go to a Python worker at once
 CACHE = 400_000  # words whose ids a task remembers; beyond it, it starts afresh
 
 
@@ -62,7 +65,9 @@ class Words(dict):
             self.old = self.copy()
             self.clear()
         ids = self.old.get(word)
-        if ids is None:
+        if ids is None and word.isascii() and word.isalpha():
+            ids = packed([t.id for t in self.merges(self.space + word)])
+        elif ids is None:
             m = self.PLAIN.fullmatch(word)
             if m is None:
                 first = word[:1] == "\n"
@@ -105,6 +110,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         import tokenizers
 
+        gc.disable()  # nothing here makes cycles, and collections walk all that is remembered
+
         kept = tokenizers.__dict__.setdefault("_encoders_by_path", {})
         if path not in kept:
             kept[path] = cls(path)
@@ -138,12 +145,27 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END, row_group:
                  pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values)],
                 ["doc_id", "part", "before", "n_tokens", "ids"])
             before += int(ends[-1])
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    (rows.select("doc_id", F.spark_partition_id().alias("part"), "text")
-     .mapInArrow(run, "doc_id long, part int, before long, n_tokens int, ids array<int>")
-     .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
-     .option("orc.row.index.stride", str(row_group)).orc(path))
+    made = rows.select("doc_id", F.spark_partition_id().alias("part"), "text").mapInArrow(
+        run, "doc_id long, part int, before long, n_tokens int, ids array<int>")
+    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01",
+               "orc.row.index.stride": str(row_group), "compression": "lz4"}
+    with _batches(docs.sparkSession, ROWS):
+        made.write.options(**options).orc(path)
+
+
+@contextmanager
+def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it holds, Arrow batches have at most `rows` rows: a batch of long texts stays small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -154,7 +176,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, all from the files."""
     files = read(spark, path)
-    sums = files.groupBy("part").agg(F.sum(F.size("ids").cast("long")).alias("n"))
+    sums = files.groupBy("part").agg(F.sum(F.col("n_tokens").cast("long")).alias("n"))  # doesn't read the ids
     starts = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
