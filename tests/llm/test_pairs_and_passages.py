@@ -9,7 +9,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from duescope.llm import decontaminate, licenses, simhash
+import corpus_pipeline
+from duescope.llm import decontaminate, licenses, nearcopies, simhash
 from duescope.llm.common import components
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -85,6 +86,49 @@ def test_manhattan_distance_bounds_differing_bits(a, b):
     assert sum(abs(x - y) for x, y in zip(counts(a), counts(b))) <= (a ^ b).bit_count()
 
 
+def jaccard(a, b):
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)} - {()} for w in (low(a).split(), low(b).split())]
+    return len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
+
+
+@pytest.mark.parametrize("crowd", [1, 8])
+def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark, crowd):
+    """Copies with words replaced at even distances: most are more than 3 bits of a SimHash apart."""
+    import random
+    rng, rows = random.Random(3), []
+    for g in range(30):
+        w = [f"w{rng.randrange(5000)}" for _ in range(60 + 20 * g)]
+        for k in range(4):
+            v = list(w)
+            for j in range(k * len(w) // 60):
+                v[rng.randrange(len(v))] = f"x{g}.{k}.{j}"
+            rows.append((100 * g + k, " ".join(v)))
+        far = [x if i % 8 else f"y{g}.{i}" for i, x in enumerate(w)]
+        rows.append((100 * g + 50, " ".join(far)))
+    linked = {i: i for i, _ in rows}
+
+    def find(x):
+        while linked[x] != x:
+            x = linked[x]
+        return x
+    for i, a in rows:
+        for j, b in rows:
+            if i < j and i // 100 == j // 100 and jaccard(a, b) >= 0.8:
+                linked[max(find(i), find(j))] = min(find(i), find(j))
+    want = {find(i) for i, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in nearcopies.one_of_each(docs, crowd).collect()} == want
+    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()} == want
+
+
+def test_near_duplicate_stage_takes_awkward_rows(spark, docs, empty):
+    kept = nearcopies.one_of_each(docs)
+    ids = [r.doc_id for r in kept.collect()]
+    assert kept.columns == docs.columns and len(ids) == len(set(ids))
+    assert 7 in ids and 100 in ids and not {101, 102, 104, 105, None} & set(ids)
+    assert nearcopies.one_of_each(empty).collect() == []
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
