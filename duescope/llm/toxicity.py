@@ -18,7 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
@@ -51,11 +51,13 @@ _MARKS = re.compile("[\"“”„«»]|^[ \t]*>", re.M)
 
 @dataclass
 class Lexicon:
-    """terms: edits allowed (None: a beginning); weights; terms that must occur twice in a text."""
+    """terms: edits allowed (None: a beginning); weights; terms that must occur twice in a text;
+    words that a beginning covers, with that beginning: misspelled they count as hits of it."""
 
     terms: dict[str, int | None]
     weights: dict[str, float]
     twice: set[str]
+    covered: dict[str, str] = field(default_factory=dict)
 
 
 def edits(term: str) -> int:
@@ -66,15 +68,16 @@ class Automaton:
     """Trie of terms intersected with their Levenshtein automata, determinised on demand.
 
     A state is a set of (trie node, edits so far). `terms` maps a term to its edits; a term with
-    None matches as the exact beginning of a word.
+    None matches as the exact beginning of a word. `covered` maps further words to the terms that
+    they are hits of; they have the edits of their own lengths.
     """
 
-    def __init__(self, terms: dict[str, int | None]) -> None:
+    def __init__(self, terms: dict[str, int | None], covered: dict[str, str] | None = None) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.budget: list[int] = [0]  # most edits of any term below
         self.ends: list[tuple[str, int] | None] = [None]
         self.opens: list[str | None] = [None]
-        for term, k in terms.items():
+        for term, k, name in [*((t, k, t) for t, k in terms.items()), *((w, edits(w), t) for w, t in (covered or {}).items())]:
             node = 0
             self.budget[0] = max(self.budget[0], k or 0)
             for c in term:
@@ -87,9 +90,9 @@ class Automaton:
                 node = self.children[node][c]
                 self.budget[node] = max(self.budget[node], k or 0)
             if k is None:
-                self.opens[node] = term
+                self.opens[node] = name
             else:
-                self.ends[node] = (term, k)
+                self.ends[node] = (name, k)
         self.start = self._closed({(0, 0)})
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
         self.accepts: dict[frozenset, tuple[str, int] | None] = {}
@@ -245,8 +248,9 @@ def lexicon(fit: DataFrame) -> Lexicon:
     """At most LEXICON terms from labelled rows, surest first.
 
     Terms of so many toxic documents that they could be sure are candidates, the CANDIDATES
-    most frequent; then the other documents that hold them are counted. A term that an earlier
-    beginning covers is left out, and so is a beginning that is no surer than an earlier word of
+    most frequent; then the other documents that hold them are counted. A word that an earlier
+    beginning covers stays with its edits, as a hit of the beginning; a beginning that an earlier
+    one covers is left out, and so is a beginning that is no surer than an earlier word of
     it. A term weighs the log of its odds over those of all labelled rows.
     """
     z2 = SURE ** 2
@@ -264,7 +268,9 @@ def lexicon(fit: DataFrame) -> Lexicon:
     sure = sorted((-round(low(k), 9), k[1], len(k[0]), k[0]) for k in toxic if low(k) >= LIKELY)[:LEXICON]
     out, said = Lexicon({}, {}, set()), {}
     for minus, kind, _, term in sure:
-        covered = any(out.terms.get(term[:k], 0) is None for k in BEGINNINGS if k <= len(term))
+        covered = [term[:k] for k in BEGINNINGS if k <= len(term) and out.terms.get(term[:k], 0) is None]
+        if covered and not kind:
+            out.covered[term] = covered[0]
         if covered or kind and said.get(term, 0) >= -minus - 0.02:
             continue
         if term not in out.terms:
@@ -284,7 +290,7 @@ def _scanned(rows: DataFrame, lex: Lexicon, harmless: frozenset[str]) -> DataFra
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text") + ", features array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = Matches(Automaton(lex.terms), harmless)
+        matches = Matches(Automaton(lex.terms, lex.covered), harmless)
         for b in pieces(batches, PIECE):
             found = [features(t, matches, lex) for t in utf8(b.column(len(names)))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(found, pa.list_(pa.float64()))], [*names, "features"])
@@ -295,7 +301,7 @@ def _scanned(rows: DataFrame, lex: Lexicon, harmless: frozenset[str]) -> DataFra
 def _harmless(fit: DataFrame, lex: Lexicon) -> frozenset[str]:
     """Words of harmless documents that are only a misspelling away from a term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matches = Matches(Automaton(lex.terms), frozenset())
+        matches = Matches(Automaton(lex.terms, lex.covered), frozenset())
         for b in pieces(batches, PIECE):
             words = {w for t in utf8(b.column(0)) for w in set(letter_words(t))}
             near = {w.decode("utf-8", "replace").lower() for w in words if (m := matches[w]) and m[1]}

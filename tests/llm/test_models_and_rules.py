@@ -110,6 +110,20 @@ def test_beginnings_match_any_ending():
     assert [a.match(w) for w in ("lowest", "lowe", "low", "idoit", "idiots")] == [("lowe", 0), ("lowe", 0), None, None, ("idiot", 1)]
 
 
+def test_covered_words_match_misspelled(spark):
+    """Inflected forms make a beginning surer than its words; these still match misspelled."""
+    forms = ["dolterei", "dolterung", "doltersam"]
+    rows = [(f"you {forms[i % 3]} n{i}", 1.0) for i in range(90)] + [(f"fine words m{i} here", 0.0) for i in range(200)]
+    lex = toxicity.lexicon(spark.createDataFrame(rows, "text string, y double"))
+    assert set(forms) <= set(lex.covered) and not set(forms) & set(lex.terms)
+    matches = toxicity.Matches(toxicity.Automaton(lex.terms, lex.covered), frozenset())
+    for word in forms:
+        typo = word[0] + "x" + word[2:]
+        begin = lex.covered[word]
+        assert matches[word.encode()] == (begin, 0) and matches[typo.encode()] == (begin, 1)
+        assert toxicity.features(f"such a {typo}".encode(), matches, lex)[2] > 0
+
+
 def test_quotation_is_told_from_abuse():
     lex = toxicity.Lexicon({"idiot": 1}, {"idiot": 5.0}, set())
     of = lambda t: toxicity.features(t.encode(), toxicity.Matches(toxicity.Automaton(lex.terms), frozenset()), lex)
