@@ -12,6 +12,7 @@ from duescope.config import PanelConfig
 from duescope.functions import columns as C
 from duescope.operators.ordered import exact_quantiles
 from duescope.sources.lineitems import CLEARED
+from duescope.storage import stored
 
 
 def _rate(condition: Column) -> Column:
@@ -280,6 +281,25 @@ def category_mix(customers: DataFrame, category: str, keys: list[str] | None = N
         *keys, "level", (F.coalesce("n", F.lit(0)) / F.col("_size")).alias("share"))
 
 
+def mix_features(customers: DataFrame, category: str, keys: list[str] | None = None, levels: int = 8) -> DataFrame:
+    """(keys, level, share): the share of a country's customers in each of the `levels` most
+    frequent levels, zero where it has none; null is the level UNK, equal counts go by name.
+
+    Further keys, such as a resample number, rank their levels by themselves. Unlike
+    `category_mix`, the rest is left out, so shares add up to one only if there is none.
+    """
+    keys = keys or ["country"]
+    apart = [k for k in keys if k != "country"]
+    counts = stored(customers.withColumn("level", F.coalesce(category, F.lit("UNK"))).groupBy(*keys, "level").agg(F.count("*").alias("n")))
+    order = Window.partitionBy(*apart, "_all").orderBy(F.desc("_total"), "level")
+    top = (
+        counts.groupBy(*apart, "level").agg(F.sum("n").alias("_total")).withColumn("_all", F.lit(0))
+        .withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= levels).select("_all", *apart, "level"))
+    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_size")).withColumn("_all", F.lit(0))
+    return sizes.join(top, ["_all", *apart]).join(counts, [*keys, "level"], "left").select(
+        *keys, "level", (F.coalesce("n", F.lit(0)) / F.col("_size")).alias("share"))
+
+
 def behaviour_long(vector: DataFrame, mix: DataFrame | None = None,
                    keys: list[str] | None = None) -> DataFrame:
     """(keys, feature, value) of all statistics except the customer count."""

@@ -7,16 +7,25 @@ from pyspark.sql import functions as F
 from duescope.operators import profile
 from duescope.operators import similarity as sim
 from duescope.plans import sqlviews as sv
-from duescope.plans.q_profile import VECTOR_STATS, customers, typed, vector_sql
+from duescope.plans.q_profile import VECTOR_STATS, customers, segmented, typed, vector_sql
 from duescope.plans.registry import query
 from duescope.storage import stored
 
 _CAST = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in VECTOR_STATS)
 
 
-def long_sql(source: str, keys: str) -> str:
+def long_sql(source: str, customers: str, apart: str = "") -> str:
+    """All statistics, and the share of customers in each of the eight most frequent levels."""
+    keys = apart + "country"
     return f"""SELECT {keys}, feature, value FROM (UNPIVOT (SELECT {keys}, {_CAST} FROM {source})
-  ON {', '.join(VECTOR_STATS)} INTO NAME feature VALUE value)"""
+  ON {', '.join(VECTOR_STATS)} INTO NAME feature VALUE value)
+UNION ALL SELECT {keys}, 'mix_' || level AS feature, coalesce(n, 0) / size AS value
+FROM (SELECT {keys}, count(*) AS size FROM {customers} GROUP BY {keys})
+JOIN (SELECT {apart} 0 AS zero, coalesce(segment, 'UNK') AS level FROM {customers} GROUP BY {apart} level
+      QUALIFY row_number() OVER ({'PARTITION BY ' + apart.rstrip(', ') if apart else ''} ORDER BY count(*) DESC, level) <= 8) t
+  {f"USING ({apart.rstrip(', ')})" if apart else "ON zero = 0"}
+LEFT JOIN (SELECT {keys}, coalesce(segment, 'UNK') AS level, count(*) AS n FROM {customers} GROUP BY {keys}, level)
+  USING ({keys}, level)"""
 
 
 def z_sql(source: str, part: str) -> str:
@@ -33,18 +42,18 @@ FROM {source} a JOIN {source} b USING ({keys} feature) WHERE a.country <> b.coun
 GROUP BY {keys} a.country, b.country"""
 
 
-sv.view("vec_long", "vector", long_sql("vector", "country"))
+sv.view("vec_long", "vector segments", long_sql("vector", "segments"))
 sv.view("zs", "vec_long", z_sql("vec_long", "feature"))
 sv.view("pairs", "zs", pairs_sql("zs"))
 _RANK = "row_number() OVER (PARTITION BY country ORDER BY round({m}, 12), neighbor)"
 
 
 def vector_long(rows, keys):
-    return profile.behaviour_long(profile.country_vector(rows, keys), keys=keys)
+    return profile.behaviour_long(profile.country_vector(rows, keys), profile.mix_features(rows, "segment", keys), keys)
 
 
 def zs_of(spark, path):
-    return stored(sim.standardized(vector_long(stored(customers(spark, path)), ["country"])))
+    return stored(sim.standardized(vector_long(stored(segmented(spark, path)), ["country"])))
 
 
 def pairs_of(spark, path):
@@ -127,8 +136,9 @@ sv.view("donors", "vector all_pairs", routing_sql("all_pairs"))
 
 
 def _parts(spark, path):
-    vector = stored(profile.country_vector(stored(customers(spark, path))))
-    zs = stored(sim.standardized(profile.behaviour_long(vector)))
+    rows = stored(segmented(spark, path))
+    vector = stored(profile.country_vector(rows))
+    zs = stored(sim.standardized(profile.behaviour_long(vector, profile.mix_features(rows, "segment"))))
     pairs = stored(sim.pairwise(zs))
     return vector, zs, pairs
 
@@ -225,10 +235,10 @@ def _(spark, path):
 
 RUNS = 50
 _KEEP = "(CAST(customer_id AS BIGINT) * 7919 + r * 104729) % 1000 < 700"
-sv.view("boot", "cust", f"""
-SELECT cust.*, r FROM cust CROSS JOIN (SELECT CAST(unnest(range(1, {RUNS + 1})) AS INTEGER) AS r) WHERE {_KEEP}""")
+sv.view("boot", "segments", f"""
+SELECT segments.*, r FROM segments CROSS JOIN (SELECT CAST(unnest(range(1, {RUNS + 1})) AS INTEGER) AS r) WHERE {_KEEP}""")
 sv.view("boot_vec", "boot", vector_sql("boot", "r, country"))
-sv.view("boot_long", "boot_vec", long_sql("boot_vec", "r, country"))
+sv.view("boot_long", "boot_vec boot", long_sql("boot_vec", "boot", "r, "))
 sv.view("boot_z", "boot_long", z_sql("boot_long", "r, feature"))
 sv.view("boot_pairs", "boot_z", pairs_sql("boot_z", "r,"))
 sv.view("boot_stability", "boot_pairs pairs", f"""
@@ -242,7 +252,7 @@ JOIN (SELECT r, country, neighbor FROM boot_pairs QUALIFY row_number() OVER (
 def stability_of(spark, path):
     r, number = F.col("r"), F.col("customer_id").cast("bigint")
     keep = (number * 7919 + r * 104729) % 1000 < 700
-    return sim.bootstrap_stability(stored(customers(spark, path)), vector_long, RUNS, keep)
+    return sim.bootstrap_stability(stored(segmented(spark, path)), vector_long, RUNS, keep)
 
 
 @query("g13_bootstrap_stability", uses="boot_stability", spec="agreement_rate:6",
