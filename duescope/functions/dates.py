@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 def compact_date(c: Column) -> Column:
     """`yyyyMMdd` text to date; `00000000`, blanks and junk to null.
 
-    Rearranged to ISO and cast, which is generated code; a format pattern is parsed by a
-    formatter object per row and costs several times as much.
+    Rearranged to ISO and cast, which is generated code and takes digits only; a format pattern is
+    parsed by a formatter object per row, and a regular expression costs as much. The cast would
+    read past a time mark behind the day, hence the look at the last character.
     """
     text = F.trim(c)
-    year, month, day = (F.substring(text, start, n) for start, n in ((1, 4), (5, 2), (7, 2)))
-    iso = F.concat_ws("-", year, month, day).try_cast("date")
-    return F.when(text.rlike("^[0-9]{8}$"), iso)
+    dash, none = F.lit("-"), F.lit(0)
+    iso = F.overlay(F.overlay(text, dash, F.lit(5), none), dash, F.lit(8), none).try_cast("date")
+    return F.when((F.length(text) == 8) & F.substring(text, 8, 1).between("0", "9"), iso)
 
 
 def any_date(c: Column) -> Column:

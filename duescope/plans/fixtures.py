@@ -39,14 +39,17 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Order lines with the order's date, customer and status.
+    """Order lines with the order's date, customer and status, dealt by invoice.
 
-    Both sides grow with the data, so this is a partitioned join on the order key whatever
-    their present size; it also spreads the lines of a single-block file over the cores.
+    The lines are dealt out as they are read, before the join and before dates and texts are made of
+    them, so those of a single-block file spread over the cores. A join of two large sides and the
+    roll-up to invoices find their rows together without moving them again.
     """
-    orders = table(spark, path, "orders").withColumn("base", F.col("o_orderdate").cast("date"))
-    lines = table(spark, path, "lineitem").withColumn("ship", F.col("l_shipdate").cast("date"))
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    invoice = lambda key: F.col(key).cast("string").alias("invoice_id")
+    orders = table(spark, path, "orders").select("*", invoice("o_orderkey"), F.col("o_orderdate").cast("date").alias("base"))
+    lines = table(spark, path, "lineitem").select("*", invoice("l_orderkey")).repartition("invoice_id")
+    return lines.withColumn("ship", F.col("l_shipdate").cast("date")).join(orders, "invoice_id").withColumn(
+        "customer_id", _padded("o_custkey"))
 
 
 def _padded(key: str, width: int = 10) -> Column:
@@ -54,7 +57,7 @@ def _padded(key: str, width: int = 10) -> Column:
 
 
 def _compact(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    return F.replace(c.cast("string"), F.lit("-"), F.lit(""))
 
 
 def raw_view(spark: SparkSession, path: str) -> DataFrame:
@@ -91,8 +94,7 @@ def raw_view(spark: SparkSession, path: str) -> DataFrame:
     letter = lambda n: F.char((F.lit(65) + n).cast("int"))
     missing = order % 97 == 0
     return rows.select(
-        _padded("o_custkey").alias("customer_id"),
-        order.cast("string").alias("invoice_id"),
+        "customer_id", "invoice_id",
         line.cast("string").alias("line_item"),
         F.concat(letter(F.floor(nk / 5)), letter(nk % 5), F.lit("01")).alias("company_code"),
         amount.alias("invoice_amount"),
@@ -150,8 +152,7 @@ def raw_cleared(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_letters(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.col("l_returnflag") == "R").select(
-        _padded("o_custkey").alias("KUNNR"),
-        F.col("o_orderkey").cast("string").alias("BELNR"),
+        F.col("customer_id").alias("KUNNR"), F.col("invoice_id").alias("BELNR"),
         _compact(F.col("ship")).alias("LAUFD"),
         (1 + F.col("l_linenumber") % 4).cast("string").alias("MAHNN"),
     )
@@ -159,7 +160,7 @@ def raw_letters(spark: SparkSession, path: str) -> DataFrame:
 
 def raw_promises(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).filter(F.col("l_returnflag") == "A").select(
-        _padded("o_custkey").alias("FIN_CUSTOMER"),
+        F.col("customer_id").alias("FIN_CUSTOMER"),
         F.concat(F.lit("0000"), _padded("o_orderkey")).alias("FIN_INVOICE_KEY"),
         (F.floor("l_extendedprice") * 0.5).alias("FIN_PROMISED_AMT"),
         (F.col("l_linenumber") % 4).cast("string").alias("FIN_P2P_STATE"),
