@@ -7,10 +7,13 @@ Entities are countries: a few hundred at most, hence pairwise tables stay small.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from duescope.operators import linkage
 from duescope.storage import stored
 
 
@@ -89,30 +92,34 @@ def proxy_models(neighbors: DataFrame, low_data: DataFrame, trained: DataFrame)
         "country", F.col("b.neighbor").alias("proxy_country"), F.col("b.distance").alias("distance"))
 
 
-def silhouettes(pairs: DataFrame, labels: DataFrame, metric: str = "dist_eucl") -> DataFrame:
-    """(country, cluster, a, b, silhouette); 0 for the only member of a cluster."""
-    own = labels.select("country", "cluster")
-    other = labels.select(F.col("country").alias("neighbor"), F.col("cluster").alias("_other"))
-    to_cluster = pairs.join(own, "country").join(other, "neighbor").groupBy(
-        "country", "cluster", "_other").agg(F.avg(metric).alias("d"))
+def silhouettes(pairs: DataFrame, labels: DataFrame, metric: str = "dist_eucl", keys: list[str] | None = None) -> DataFrame:
+    """(keys, country, cluster, a, b, silhouette); 0 for the only member of a cluster. `keys` tell
+    several clusterings in `labels` apart."""
+    keys = keys or []
+    own = labels.select(*keys, "country", "cluster")
+    other = labels.select(*keys, F.col("country").alias("neighbor"), F.col("cluster").alias("_other"))
+    to_cluster = pairs.join(own, "country").join(other, [*keys, "neighbor"]).groupBy(
+        *keys, "country", "cluster", "_other").agg(F.avg(metric).alias("d"))
     same = F.col("cluster") == F.col("_other")
-    ab = to_cluster.groupBy("country", "cluster").agg(
+    ab = to_cluster.groupBy(*keys, "country", "cluster").agg(
         F.max(F.when(same, F.col("d"))).alias("a"), F.min(F.when(~same, F.col("d"))).alias("b"))
     width = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
     return ab.withColumn("silhouette", F.coalesce(
         F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), width), F.lit(0.0)))
 
 
-def clustering_score(sil: DataFrame) -> DataFrame:
-    """Mean silhouette, balance (smallest / largest cluster) and the combined score, which
-    is -1 with fewer than two clusters or any single-member cluster."""
+def clustering_score(sil: DataFrame, cophenetic: Column | float = 0.0) -> DataFrame:
+    """Mean silhouette, balance (smallest / largest cluster) and the combined score: silhouette
+    + 0.3 * cophenetic - 0.15 * (1 - balance). It is -1 with fewer than two clusters or any
+    single-member cluster. `cophenetic` is the correlation of the tree that the labels come from."""
+    tree = cophenetic if isinstance(cophenetic, Column) else F.lit(float(cophenetic))
     sizes = sil.groupBy("cluster").agg(F.count("*").alias("n"), F.sum("silhouette").alias("s"))
     out = sizes.agg(
         F.count("*").alias("k"), (F.sum("s") / F.sum("n")).alias("silhouette"),
         F.min("n").alias("smallest"), (F.min("n") / F.max("n")).alias("balance"))
     fair = (F.col("k") >= 2) & (F.col("smallest") >= 2)
     return out.withColumn("score", F.when(
-        fair, F.col("silhouette") - 0.15 * (1 - F.col("balance"))).otherwise(-1.0))
+        fair, F.col("silhouette") + 0.3 * tree - 0.15 * (1 - F.col("balance"))).otherwise(-1.0))
 
 
 def _vectors(zs: DataFrame) -> DataFrame:
@@ -171,18 +178,34 @@ def bisecting(zs: DataFrame, k: int, seed: int = 42) -> DataFrame:
 
 
 def cluster_candidates(zs: DataFrame, k_min: int = 2, k_max: int = 8) -> DataFrame:
-    """Scores of k-means and the bisecting hierarchy for each k; the best has rank 1.
+    """Scores of k-means, the bisecting hierarchy and the agglomerative trees (ward, average,
+    complete) for each k; the best silhouette has rank 1.
 
-    `zs` is the country-sized vector table, so each fit is tiny; pairs are computed once.
+    `zs` is the country-sized vector table, so each fit is tiny; pairs and trees are made once. All
+    labels go into one table, and one pass scores them all.
     """
     zs = stored(zs)
     pairs = stored(pairwise(zs).select("country", "neighbor", "dist_eucl"))
-    out = None
-    for k in range(k_min, k_max + 1):
-        for name, fit in (("kmeans", kmeans), ("bisecting", bisecting)):
-            row = clustering_score(silhouettes(pairs, fit(zs, k))).select(
-                F.lit(name).alias("method"), F.lit(k).alias("requested_k"), "*")
-            out = row if out is None else out.unionByName(row)
+    ks = range(k_min, k_max + 1)
+    tagged = [
+        fit(zs, k).select(F.lit(name).alias("method"), F.lit(k).alias("requested_k"), "country", "cluster", F.lit(0.0).alias("cophenetic"))
+        for name, fit in (("kmeans", kmeans), ("bisecting", bisecting)) for k in ks]
+    for method in linkage.METHODS:
+        tree = linkage.merges(pairs, method)
+        faithful = stored(pairs.limit(1).select(linkage.cophenetic_correlation(tree, pairs).alias("c"))).first()["c"]
+        tagged += [linkage.labels(tree, zs, k).select(
+            F.lit(method).alias("method"), F.lit(k).alias("requested_k"), "country", "cluster", F.lit(faithful).alias("cophenetic")) for k in ks]
+    tried = stored(reduce(DataFrame.unionByName, tagged))
+    case = ["method", "requested_k"]
+    sil = silhouettes(pairs, tried, keys=case)
+    sizes = sil.groupBy(*case, "cluster").agg(F.count("*").alias("n"), F.sum("silhouette").alias("s"))
+    scored = sizes.groupBy(*case).agg(
+        F.count("*").alias("k"), (F.sum("s") / F.sum("n")).alias("silhouette"),
+        F.min("n").alias("smallest"), (F.min("n") / F.max("n")).alias("balance"))
+    trees = tried.groupBy(*case).agg(F.max("cophenetic").alias("cophenetic"))
+    fair = (F.col("k") >= 2) & (F.col("smallest") >= 2)
+    score = F.col("silhouette") + 0.3 * F.col("cophenetic") - 0.15 * (1 - F.col("balance"))
+    out = scored.join(trees, case).withColumn("score", F.when(fair, score).otherwise(-1.0))
     order = Window.partitionBy(F.lit(0)).orderBy(F.desc("silhouette"), "requested_k", "method")
     return out.withColumn("rank", F.row_number().over(order))
 

@@ -395,29 +395,37 @@ def encoded_for_global(df: DataFrame, clusters: dict[str, list[str]]) -> DataFra
 
 
 def score_clusters(rows: DataFrame, models: dict[str, TrainedModel], clusters: dict[str, list[str]],
-                   fallback: TrainedModel | None = None) -> DataFrame:
+                   fallback: TrainedModel | None = None, explained: bool = False) -> DataFrame:
     """Every row of `rows`, scored by its cluster's model at its country's threshold.
 
     `status` says how: "cluster"; "global" where the cluster has no model, or the country no
     cluster, and `fallback` (from `train_global`) scored the row at its pooled threshold; else
-    "unscored", with null score and class.
+    "unscored", with null score and class. `explained` adds `drivers` and `base_value`, the exact
+    contributions of the features to the log-odds of the model that scored the row.
     """
+    from duescope.operators.contributions import with_contributions
     from duescope.operators.score import routed
 
     served = {name: sorted(clusters[name]) for name in models}
     kept = list(rows.columns)
+    told = ["drivers", "base_value"] if explained else []
+
+    def scored_by(model: TrainedModel, pool: DataFrame) -> DataFrame:
+        out = model.production.score(pool)
+        return (with_contributions(out, model.production) if explained else out).select(*kept, "score", *told)
+
     parts: list[DataFrame] = []
     if models:
         routing = stored(routing_rows(models, clusters).select("country", "cluster", "model_name", "threshold"))
     for name, model in models.items():
         pool = encoding.one_hot(rows.filter(F.col("country").isin(served[name])), "country", served[name], "country")
-        scored = model.production.score(pool).select(*kept, "score")
+        scored = scored_by(model, pool)
         parts.append(routed(scored, routing).withColumn("status", F.lit("cluster")))
     known = [c for cs in served.values() for c in cs]
     rest = rows.filter(~F.coalesce(F.col("country").isin(known), F.lit(False)))
     if fallback is not None:
         at = fallback.thresholds.filter(F.col("slice") == ev.POOLED).select("threshold").scalar()
-        scored = fallback.production.score(encoded_for_global(rest, clusters)).select(*kept, "score")
+        scored = scored_by(fallback, encoded_for_global(rest, clusters))
         named = with_cluster(scored, clusters).withColumns({
             "model_name": F.lit("risk_global"), "threshold_used": at, "binary_pred": bands.flagged(F.col("score"), at),
             "predicted_class": bands.threshold_band(F.col("score"), at), "status": F.lit("global")})
@@ -426,6 +434,9 @@ def score_clusters(rows: DataFrame, models: dict[str, TrainedModel], clusters: d
             "score": F.lit(None).cast("double"), "model_name": F.lit(None).cast("string"),
             "threshold_used": F.lit(None).cast("double"), "binary_pred": F.lit(None).cast("int"),
             "predicted_class": F.lit(None).cast("string"), "status": F.lit("unscored")})
+        if explained:
+            nothing = "array<struct<feature:string,value:double,contribution:double>>"
+            named = named.withColumns({"drivers": F.lit(None).cast(nothing), "base_value": F.lit(None).cast("double")})
     out = named
     for part in parts:
         out = out.unionByName(part)

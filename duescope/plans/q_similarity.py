@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from duescope.operators import profile
+from duescope.operators import linkage, profile
 from duescope.operators import similarity as sim
 from duescope.plans import sqlviews as sv
 from duescope.plans.q_profile import VECTOR_STATS, customers, segmented, typed, vector_sql
@@ -294,3 +294,108 @@ def _(spark, path):
 def _(spark, path):
     vector, zs, _pairs = _parts(spark, path)
     return sim.behaviour_map(zs, vector)
+
+
+def tree_of(spark, path, method="ward"):
+    zs = zs_of(spark, path)
+    pairs = stored(sim.pairwise(zs))
+    return zs, pairs, linkage.merges(pairs, method)
+
+
+@query("g09_ward_merges", uses="zs", spec="squared_error:5", sql="""
+SELECT count(DISTINCT country) - 1 AS merges, sum(z * z) AS squared_error, count(DISTINCT country) AS largest FROM zs""")
+def _(spark, path):
+    """n - 1 merges, the last of all countries; half the squared heights add up to the squared error
+    of everything in one cluster."""
+    _zs, _pairs, tree = tree_of(spark, path)
+    return tree.agg(F.count("*").alias("merges"), F.sum(F.pow("height", F.lit(2.0)) / 2).alias("squared_error"), F.max("size").alias("largest"))
+
+
+@query("g09_ward_segments", uses="zs", sql="""
+SELECT k, count(DISTINCT country) AS countries, k AS clusters, 0 AS off FROM zs CROSS JOIN (SELECT unnest([2, 4, 7]) AS k) GROUP BY k""")
+def _(spark, path):
+    """Labels at k: k clusters, and the squared error within them is what the merges made add up to."""
+    zs, _pairs, tree = tree_of(spark, path)
+    out = None
+    for k in (2, 4, 7):
+        found = linkage.labels(tree, zs, k)
+        spread = zs.join(found, "country").groupBy("cluster", "feature").agg(
+            (F.sum(F.col("z") * F.col("z")) - F.sum("z") * F.sum("z") / F.count("*")).alias("e"))
+        heights = F.slice(F.array_sort(F.collect_list("height")), F.lit(1), F.count("*").cast("int") + 1 - k)
+        made = tree.agg(F.aggregate(heights, F.lit(0.0), lambda s, h: s + h * h / 2)).scalar()
+        row = found.agg(F.lit(k).alias("k"), F.count("*").alias("countries"), F.count_distinct("cluster").alias("clusters"),
+                        (F.abs(spread.agg(F.sum("e")).scalar() - made) > 1e-6).cast("int").alias("off"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("g12_cophenetic_distances", uses="zs", sql="""
+SELECT method, count(DISTINCT country) * (count(DISTINCT country) - 1) AS pairs, 0 AS not_ultrametric, 1 AS in_range
+FROM zs CROSS JOIN (SELECT unnest(['ward', 'average', 'complete']) AS method) GROUP BY method""")
+def _(spark, path):
+    """Of three countries the two longest cophenetic distances are equal, and the correlation with
+    the distances is one."""
+    zs = zs_of(spark, path)
+    pairs, out = stored(sim.pairwise(zs)), None
+    for method in linkage.METHODS:
+        tree = linkage.merges(pairs, method)
+        kept = stored(linkage.cophenetic(tree))
+        a, b, c = (kept.alias(n) for n in "abc")
+        three = a.join(b, F.col("a.neighbor") == F.col("b.country")).join(
+            c, (F.col("c.country") == F.col("a.country")) & (F.col("c.neighbor") == F.col("b.neighbor")))
+        broken = three.where(F.col("c.height") > F.greatest("a.height", "b.height") + 1e-9).agg(F.count("*")).scalar()
+        faithful = linkage.cophenetic_correlation(tree, pairs)
+        row = kept.agg(F.lit(method).alias("method"), F.count("*").alias("pairs"), broken.alias("not_ultrametric"),
+                       faithful.between(-1, 1).cast("int").alias("in_range"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("g12_candidate_scores", uses="zs", sql="""
+SELECT method, k AS requested_k, 1 AS in_range, 1 AS scored, 1 AS ranked_in_order
+FROM (SELECT unnest(['kmeans', 'bisecting', 'ward', 'average', 'complete']) AS method) CROSS JOIN (SELECT unnest(range(2, 9)) AS k)""")
+def _(spark, path):
+    """Every method and k is scored by silhouette + 0.3 cophenetic - 0.15 imbalance, or -1."""
+    found = stored(sim.cluster_candidates(zs_of(spark, path), 2, 8))
+    fair = (F.col("k") >= 2) & (F.col("smallest") >= 2)
+    want = F.when(fair, F.col("silhouette") + 0.3 * F.col("cophenetic") - 0.15 * (1 - F.col("balance"))).otherwise(-1.0)
+    order = found.agg(F.array_sort(F.collect_list(F.struct(-F.col("silhouette"), "requested_k", "method")))).scalar()
+    at = F.element_at(order, F.col("rank"))
+    return found.select("method", "requested_k", F.col("silhouette").between(-1, 1).cast("int").alias("in_range"),
+                        (F.abs(F.col("score") - want) < 1e-9).cast("int").alias("scored"),
+                        ((at["method"] == F.col("method")) & (at["requested_k"] == F.col("requested_k"))).cast("int").alias("ranked_in_order"))
+
+
+@query("g08_kmeans_settled", uses="zs", sql="SELECT DISTINCT country, 1 AS in_nearest FROM zs")
+def _(spark, path):
+    """Each country is in the cluster whose mean is nearest to it."""
+    zs = zs_of(spark, path)
+    found = sim.kmeans(zs, 4)
+    means = zs.join(found, "country").groupBy("cluster", "feature").agg(F.avg("z").alias("m"))
+    away = zs.join(means, "feature").groupBy("country", F.col("cluster").alias("other")).agg(F.sum(F.pow(F.col("z") - F.col("m"), 2)).alias("d"))
+    best = away.groupBy("country").agg(F.min("d").alias("least"))
+    own = away.join(found, "country").where("other = cluster").join(best, "country")
+    return own.select("country", (F.col("d") <= F.col("least") + 1e-9).cast("int").alias("in_nearest"))
+
+
+@query("g07_components_keep_variance", uses="zs", spec="variance:6", sql="""
+SELECT sum(z * z) / count(DISTINCT country) AS variance, 1 AS falling, 1 AS shares_add_up FROM zs""")
+def _(spark, path):
+    """All components together keep the variance of all features, in falling order."""
+    zs = zs_of(spark, path)
+    found = sim.principal_components(zs, 2.0)
+    each = found.groupBy("component").agg(F.sum(F.pow("value", F.lit(2.0))).alias("v"), F.max("explained").alias("share"), F.count("*").alias("n"))
+    order = F.transform(F.array_sort(F.collect_list(F.struct("component", "v"))), lambda s: -F.round(s["v"], 6))
+    return each.agg(F.sum(F.col("v") / F.col("n")).alias("variance"), (order == F.array_sort(order)).cast("int").alias("falling"),
+                    (F.abs(F.sum("share") - 1) < 1e-9).cast("int").alias("shares_add_up"))
+
+
+@query("g18_map_of_two_components", uses="vector", sql="SELECT country, n_customers, 1 AS same FROM vector")
+def _(spark, path):
+    """The map holds the first two components of each country, with their shares."""
+    vector, zs, _pairs = _parts(spark, path)
+    found = sim.behaviour_map(zs, vector)
+    both = sim.principal_components(zs, exactly=2).groupBy("country").agg(
+        F.array_sort(F.collect_list(F.struct("component", "value", "explained"))).alias("c"))
+    same = [F.abs(F.col(f"{n}{i + 1}") - F.col("c")[i][f]) < 1e-9 for i in (0, 1) for n, f in (("pc", "value"), ("explained", "explained"))]
+    return found.join(both, "country").select("country", "n_customers", (same[0] & same[1] & same[2] & same[3]).cast("int").alias("same"))

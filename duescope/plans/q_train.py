@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from duescope.operators import evaluate as ev
-from duescope.operators import explain, score, splits, train
+from duescope.operators import contributions, explain, score, splits, train
 from duescope.plans import fixtures as fx
 from duescope.plans import sqlviews as sv
 from duescope.plans.q_features import labelled, serving, training
@@ -203,19 +203,49 @@ def routed_scores(spark, path):
     trained = {k: v for k, v in CLUSTERS.items() if k != "E"}
     models = train.train_per_cluster(rows, trained, settings)
     today = stored(serving(spark, path, only_exposed=True))
-    scored = train.score_clusters(today, models, CLUSTERS, train.train_global(rows, CLUSTERS, settings))
+    scored = train.score_clusters(today, models, CLUSTERS, train.train_global(rows, CLUSTERS, settings), explained=True)
     return stored(scored.withColumnRenamed("score", "risk_score")), train.feature_list(rows)
 
 
+def told_scores(spark, path):
+    """The output table, with the drivers of the model that scored each row."""
+    scored, features = routed_scores(spark, path)
+    told = explain.explanations(explain.top_drivers(scored))
+    banded = score.with_tertiles(told.drop("drivers", "base_value"), "country", "risk_score")
+    return score.output_table(banded.withColumn("model_features", F.lit(", ".join(features))))
+
+
 @query("x02_x11_routed_scores_with_output_columns")
 def _(spark, path):
-    scored, features = routed_scores(spark, path)
-    weights, means, r2 = explain.surrogate(scored, features, "risk_score")
-    told = explain.explanations(explain.top_drivers(
-        explain.linear_contributions(scored, weights, means)))
-    banded = score.with_tertiles(told.drop("drivers"), "country", "risk_score")
-    out = score.output_table(banded.withColumn("model_features", F.lit(", ".join(features))))
-    return out.withColumn("surrogate_r2", F.lit(r2))
+    return told_scores(spark, path)
+
+
+@query("x11_output_rows_complete", uses="serve", spec="snapshot_date:d", sql="""
+SELECT customer_id, snapshot_date, country, substr(country, 1, 1) AS cluster, 1 AS scored, 1 AS banded, 1 AS explained
+FROM serve WHERE total_outstanding > 0""")
+def _(spark, path):
+    """One row per serving row: scored between 0 and 1, banded both ways, and explained."""
+    out = told_scores(spark, path)
+    texts = ("top_risk_drivers", "top_risk_driver", "collector_explanations")
+    return out.select(
+        *_IDS[:2], "country", "cluster", F.coalesce(F.col("risk_score").between(0, 1), F.lit(False)).cast("int").alias("scored"),
+        F.coalesce(F.col("predicted_class").isin("High", "Medium", "Low") & F.col("risk_band").isNotNull(), F.lit(False)).cast("int").alias("banded"),
+        F.coalesce(sum((F.length(c) > 0).cast("int") for c in texts) == len(texts), F.lit(False)).cast("int").alias("explained"))
+
+
+@query("x04_tree_contributions_add_up", uses="serve", sql="""
+SELECT country, CASE WHEN country LIKE 'E%' THEN 'global' ELSE 'cluster' END AS status, count(*) AS n_rows, 0 AS without, 0 AS off
+FROM serve WHERE total_outstanding > 0 GROUP BY 1, 2""")
+def _(spark, path):
+    """Base value and contributions make the log-odds of the model that scored the row. The models
+    have one seed and a calibrator that rises with the score, so equal log-odds have equal scores."""
+    scored, _ = routed_scores(spark, path)
+    added = F.aggregate("drivers", F.col("base_value"), lambda s, d: s + d["contribution"])
+    told = scored.withColumn("odds", F.round(added, 6))
+    same = told.groupBy("cluster", "status", "country", "odds").agg(F.count("*").alias("n"), F.count_if(added.isNull()).alias("without"),
+                                                                F.min("risk_score").alias("lo"), F.max("risk_score").alias("hi"))
+    return same.groupBy("country", "status").agg(
+        F.sum("n").alias("n_rows"), F.sum("without").alias("without"), F.count_if(F.col("hi") - F.col("lo") > 1e-6).alias("off"))
 
 
 @query("x02_every_row_is_scored", uses="serve", sql="""
@@ -244,6 +274,49 @@ def _(spark, path):
         F.count_distinct("threshold_used").alias("thresholds"))
 
 
+def boosted(spark, path):
+    """The labelled panel and two seeds of trees fitted on it."""
+    rows, _dev, features = split_and_fit(spark, path)
+    return rows, train.fit_ensemble(train.weighted(rows, PARAMS), features, PARAMS, 2)
+
+
+@query("x04_tree_contributions", uses="lab", sql="SELECT country, count(*) AS n_rows, 0 AS off FROM lab GROUP BY country")
+def _(spark, path):
+    """Base value and contributions make the log-odds the models give, for every row within 1e-6."""
+    rows, model = boosted(spark, path)
+    told = contributions.with_log_odds(contributions.with_contributions(rows, model), model)
+    added = F.aggregate("drivers", F.col("base_value"), lambda s, d: s + d["contribution"])
+    return told.groupBy("country").agg(F.count("*").alias("n_rows"), F.count_if(F.abs(added - F.col("log_odds")) > 1e-6).alias("off"))
+
+
+@query("x05_tree_top_drivers", uses="lab", spec="snapshot_date:d", sql="""
+SELECT customer_id, snapshot_date, 3 AS named, 1 AS in_order, 1 AS signed FROM lab""")
+def _(spark, path):
+    """Three drivers a row, by falling size, each with the sign of its contribution."""
+    rows, model = boosted(spark, path)
+    told = explain.top_drivers(contributions.with_contributions(rows, model), 3)
+    best = explain.ranked(F.col("drivers"), 3)
+    names = F.split("top_risk_drivers", "; ")
+    sizes = F.transform(best, lambda d: -F.abs(d["contribution"]))
+    right = F.transform(best, lambda d: F.concat(d["feature"], F.when(d["contribution"] >= 0, "(+)").otherwise("(-)")))
+    return told.select(*_IDS[:2], F.size(names).alias("named"), (sizes == F.array_sort(sizes)).cast("int").alias("in_order"),
+                       (right == names).cast("int").alias("signed"))
+
+
+@query("x06_tree_importance", uses="lab", sql=f"""
+SELECT feature, (SELECT count(*) FROM lab) AS n_rows, 1 AS not_negative, 1 AS zero_if_never_split
+FROM (SELECT unnest([{', '.join(f"'{c}'" for c in sv.PANEL_FEATURES)}]) AS feature)""")
+def _(spark, path):
+    """Mean absolute contribution of each feature; zero exactly where no tree splits on it."""
+    rows, model = boosted(spark, path)
+    told = contributions.with_contributions(rows, model)
+    means = explain.global_importance(told).join(model.importance(spark).withColumnRenamed("importance", "gain"), "feature")
+    n = told.agg(F.count("*")).scalar()
+    return means.select(
+        "feature", n.alias("n_rows"), (F.col("importance") >= 0).cast("int").alias("not_negative"),
+        ((F.col("importance") > 0) == (F.col("gain") > 0)).cast("int").alias("zero_if_never_split"))
+
+
 @query("x04_surrogate_contributions_add_up", uses="lab", sql="SELECT count(*) AS n_rows, 0 AS off, 1 AS r2_in_range FROM lab")
 def _(spark, path):
     """Contributions and the mean make the surrogate's score for every row."""

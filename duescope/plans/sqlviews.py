@@ -331,6 +331,7 @@ NUMERIC_FEATURES = [
     "broken_ratio", "kept_ratio", "avg_promised_amount", "promise_activity_flag",
     *_w("promises", "broken", "kept", "promised_amt"),
 ]
+PANEL_FEATURES = NUMERIC_FEATURES[:19]  # the exposure block
 _FILLED = ",\n  ".join(f"coalesce({c}, 0) AS {c}" for c in NUMERIC_FEATURES)
 
 
