@@ -1,8 +1,9 @@
 """Toxicity from a learned lexicon, matched by Levenshtein automata over its trie.
 
 Lexicon: words and word beginnings whose documents are labelled toxic far more often than
-chance; some beginnings only count where a text has two such words. Beginnings match any ending; whole words also match misspelled: one edit from five
-letters on, two from eight. The automaton of "within so many edits of a term" is intersected
+chance; some beginnings only count where a text has two such words. Words are runs of letters,
+marks and digits, so typographic quotes, dashes and dots part them like ASCII ones. Beginnings match
+any ending; whole words also match misspelled: one edit from five letters on, two from eight. The automaton of "within so many edits of a term" is intersected
 with the trie of all terms at once and made deterministic on demand, so a word is read letter
 by letter and most words end in the dead state after a few. Misspellings that training texts
 use in harmless documents are exceptions.
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -31,8 +33,6 @@ from duescope.llm.common import letter_words, pieces, utf8
 from duescope.llm.labelled import FIT_ROWS, fit_rows
 from duescope.storage import stored
 
-LEXICON = 5_000  # terms at most, best first
-CANDIDATES = 50_000  # terms of toxic documents that are looked into, the most frequent
 BEGINNINGS = (3, 4, 5, 6, 7, 8)  # lengths of word beginnings that may be terms
 SURE = 3.5  # standard errors: keeps chance associations out of the lexicon
 LIKELY = 0.35  # the least share of toxic documents at that confidence
@@ -45,10 +45,25 @@ FEATURES = 5
 REPORTED = frozenset(
     "said says wrote writes called calls quote quoted quotes quoting reported according "
     "sagte schrieb nannte zitat zitiert dit écrit appelé citation dijo escribió llamó cita".split())
-_WORD = re.compile(r"[^\W_]+")
+_WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 _MARKS = re.compile("[\"“”„«»]|^[ \t]*>", re.M)
 
 
+class Spoken(dict):
+    """Word between spaces and ASCII marks (bytes) -> the lower-cased words in it, remembered: marks
+    beyond ASCII, such as typographic quotes, dashes and dots, part words too."""
+
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
+        if len(self) > REMEMBERED:
+            self.clear()
+        w = word.decode("utf-8", "replace").lower()
+        found = self[word] = (w,) if word.isascii() else tuple(_WORD.findall(w))
+        return found
+
+    def words(self, text: bytes | None) -> list[str]:
+        return [w for part in map(self.__getitem__, letter_words(text)) for w in part]
+
+
 @dataclass
 class Lexicon:
     """terms: edits allowed (None: a beginning); weights; terms that must occur twice in a text;
@@ -140,21 +155,18 @@ class Automaton:
 
 
 class Matches(dict):
-    """Lower-cased word of a text (bytes) -> (term, edits) or None, remembered."""
+    """What stands between spaces and ASCII marks (bytes) -> the hits (term, edits) in it, remembered."""
 
     def __init__(self, automaton: Automaton, harmless: frozenset[str]) -> None:
         super().__init__()
-        self.automaton, self.harmless = automaton, harmless
+        self.automaton, self.harmless, self.spoken = automaton, harmless, Spoken()
 
-    def __missing__(self, word: bytes) -> tuple[str, int] | None:
+    def __missing__(self, part: bytes) -> tuple[tuple[str, int], ...]:
         if len(self) > REMEMBERED:
             self.clear()
-        w = word.decode("utf-8", "replace").lower()
-        found = self.automaton.match(w)
-        if found and found[1] and w in self.harmless:
-            found = None
-        self[word] = found
-        return found
+        found = ((w, self.automaton.match(w)) for w in self.spoken[part])
+        hits = self[part] = tuple(m for w, m in found if m and not (m[1] and w in self.harmless))
+        return hits
 
 
 def _quoted(text: str) -> list[tuple[bool, str]]:
@@ -180,15 +192,16 @@ def features(text: bytes | None, matches: Matches, lex: Lexicon) -> list[float]:
     """The heaviest own hit, then logs of one plus the weights of own exact, own misspelled and
     quoted hits, and own hits a word."""
     words = letter_words(text)
-    found = [m for m in map(matches.__getitem__, words) if m]
+    found = [m for hits in map(matches.__getitem__, words) if hits for m in hits]
     if not found:
         return [0.0] * FEATURES
     often = Counter(term for term, _ in found)
     most, own, near, quoted, n = 0.0, 0.0, 0.0, 0.0, 0
     for in_quote, w in _quoted(text.decode("utf-8", "replace")):
-        hit = matches[w.encode()]
-        if not hit or hit[0] in lex.twice and often[hit[0]] < 2:
+        hits = matches[w.encode()]
+        if not hits or hits[0][0] in lex.twice and often[hits[0][0]] < 2:
             continue
+        hit = hits[0]
         weight = lex.weights[hit[0]]
         if in_quote:
             quoted += weight
@@ -222,6 +235,7 @@ def _documents_with(texts: DataFrame, among: frozenset[tuple[str, int]] | None =
     that hold it; only terms in `among`, if given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        spoken = Spoken()
 
         def table() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -230,9 +244,9 @@ def _documents_with(texts: DataFrame, among: frozenset[tuple[str, int]] | None =
 
         for b in pieces(batches, PIECE):
             for text in utf8(b.column(0)):
-                words = [w.decode("utf-8", "replace").lower() for w in letter_words(text)]
+                words = spoken.words(text)
                 starts = Counter(w[:n] for w in words for n in BEGINNINGS if len(w) >= n)
-                terms = {(w, 0) for w in words if 3 <= len(w) <= 30}
+                terms = {(w, 0) for w in words}
                 terms.update((s, 1) for s in starts)
                 terms.update((s, 2) for s, often in starts.items() if often > 1)
                 counts.update(terms if among is None else terms & among)
@@ -245,18 +259,17 @@ def _documents_with(texts: DataFrame, among: frozenset[tuple[str, int]] | None =
 
 
 def lexicon(fit: DataFrame) -> Lexicon:
-    """At most LEXICON terms from labelled rows, surest first.
+    """All sure terms of labelled rows, surest first.
 
-    Terms of so many toxic documents that they could be sure are candidates, the CANDIDATES
-    most frequent; then the other documents that hold them are counted. A word that an earlier
+    Terms of so many toxic documents that they could be sure are candidates, as many as the bounded
+    number of labelled rows holds; then the other documents that hold them are counted. A word that an earlier
     beginning covers stays with its edits, as a hit of the beginning; a beginning that an earlier
     one covers is left out, and so is a beginning that is no surer than an earlier word of
     it. A term weighs the log of its odds over those of all labelled rows.
     """
     z2 = SURE ** 2
     least = math.ceil(LIKELY * z2 / (1 - LIKELY))
-    toxic = {(r.term, r.kind): r.n for r in _documents_with(fit.where("y > 0").select("text")).where(F.col("n") >= least)
-             .orderBy(F.desc("n"), "kind", "term").limit(CANDIDATES).collect()}
+    toxic = {(r.term, r.kind): r.n for r in _documents_with(fit.where("y > 0").select("text")).where(F.col("n") >= least).collect()}
     harmless = {(r.term, r.kind): r.n for r in _documents_with(fit.where("y = 0").select("text"), frozenset(toxic)).collect()}
     share = fit.agg(F.avg("y")).first()[0]
 
@@ -265,7 +278,7 @@ def lexicon(fit: DataFrame) -> Lexicon:
         p = toxic[key] / n
         return (p + z2 / (2 * n) - SURE * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
 
-    sure = sorted((-round(low(k), 9), k[1], len(k[0]), k[0]) for k in toxic if low(k) >= LIKELY)[:LEXICON]
+    sure = sorted((-round(low(k), 9), k[1], len(k[0]), k[0]) for k in toxic if low(k) >= LIKELY)
     out, said = Lexicon({}, {}, set()), {}
     for minus, kind, _, term in sure:
         covered = [term[:k] for k in BEGINNINGS if k <= len(term) and out.terms.get(term[:k], 0) is None]
@@ -303,8 +316,8 @@ def _harmless(fit: DataFrame, lex: Lexicon) -> frozenset[str]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = Matches(Automaton(lex.terms, lex.covered), frozenset())
         for b in pieces(batches, PIECE):
-            words = {w for t in utf8(b.column(0)) for w in set(letter_words(t))}
-            near = {w.decode("utf-8", "replace").lower() for w in words if (m := matches[w]) and m[1]}
+            parts = {p for t in utf8(b.column(0)) for p in set(letter_words(t)) if any(m[1] for m in matches[p])}
+            near = {w for p in parts for w in matches.spoken[p] if (m := matches.automaton.match(w)) and m[1]}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(near), pa.string())], ["word"])
 
     return frozenset(r.word for r in fit.where("y = 0").select("text").mapInArrow(run, "word string").distinct().collect())

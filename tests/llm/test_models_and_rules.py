@@ -14,6 +14,7 @@ import corpus_pipeline
 from duescope.llm import language, quality_model, quality_rules, textstats, toxicity
 from duescope.llm.queries import QUERIES
 from duescope.storage import stored
+from tests.llm.conftest import SYLLABLES, prose
 from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.01"
@@ -120,7 +121,7 @@ def test_covered_words_match_misspelled(spark):
     for word in forms:
         typo = word[0] + "x" + word[2:]
         begin = lex.covered[word]
-        assert matches[word.encode()] == (begin, 0) and matches[typo.encode()] == (begin, 1)
+        assert matches[word.encode()] == ((begin, 0),) and matches[typo.encode()] == ((begin, 1),)
         assert toxicity.features(f"such a {typo}".encode(), matches, lex)[2] > 0
 
 
@@ -230,3 +231,42 @@ def test_pipeline_takes_awkward_rows(spark, docs, empty):
         for _, stage in corpus_pipeline.STAGES:
             table = stored(stage(spark, table, DATA))
         assert table.count() >= 0
+
+
+def test_typographic_marks_part_words():
+    """Quotes, dashes, dots and apostrophes beyond ASCII don't hide a term, nor do combining marks split one."""
+    lex = toxicity.Lexicon({"idiot": 1, "ab": 0}, {"idiot": 2.0, "ab": 1.0}, set())
+    of = lambda t: toxicity.features(t.encode(), toxicity.Matches(toxicity.Automaton(lex.terms), frozenset()), lex)
+    plain = of("you idiot now")
+    for text in ("you —idiot— now", "you idiot’s now", "you idiot… now", "you idiot now", "you ab́ab idiot now"):
+        assert of(text)[0] == plain[0] and of(text)[1] == plain[1], text
+    for text in ("you “idiot” now", "you «idiot» now"):
+        assert of(text)[0] == 0 and of(text)[3] > 0, text
+    assert of("you “idiom” –idoit– now")[2] == 0 and of("you –idiott– now")[2] > 0
+    assert of("ab́ab")[0] == 0 and of("x" * 20_000)[0] == 0
+
+
+def test_terms_of_any_length_count(spark):
+    """Words of one letter and of fifty are terms if their documents are surely toxic."""
+    long = "un" * 25
+    rows = [(f"{'z' if i % 2 else long} plain words here number{i}", 1.0) for i in range(80)]
+    rows += [(f"other plain words here number{i}", 0.0) for i in range(400)]
+    lex = toxicity.lexicon(spark.createDataFrame(rows, "text string, y double"))
+    assert {"z", long} <= set(lex.terms) | set(lex.covered)
+
+
+def test_languages_beyond_the_table_join_families_like_them():
+    base = np.eye(6)
+    means = {"en": base[0], "fr": base[1], "x1": base[0] + 0.3 * base[2], "x2": base[3], "x3": base[3] + 0.2 * base[4], "x4": base[5]}
+    found = language.families_of(means)
+    assert found["x1"] == found["en"] == "germanic" and found["fr"] == "romance"
+    assert found["x2"] == found["x3"] == "like x2" and found["x4"] == "like x4"
+
+
+def test_language_fit_takes_whole_texts(spark):
+    """Languages that differ only behind the first hundred thousand bytes."""
+    rng = random.Random(2)
+    rows = [(i, "0 " * 50_000 + prose(rng, 300, SYLLABLES if i % 2 else ["qu", "xi", "zo", "wy"]), "aa" if i % 2 else "bb") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.predicted(docs, language.fitted(docs)).collect()}
+    assert got == {i: lang for i, _, lang in rows}
