@@ -1,6 +1,6 @@
 """Language identification in two levels: the family, then the languages within it.
 
-Texts become hashed counts of byte one-, two- and three-grams, scaled to length one. Linear
+Whole texts become hashed counts of byte one-, two- and three-grams, scaled to length one. Linear
 support vector machines, one for each pair of families, vote for the family; then one for each
 pair of its languages votes for the language. Languages of one family share letters and word
 forms, so machines that only separate such a pair put their weight on what tells them apart.
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +25,9 @@ from duescope.storage import stored
 
 SIZE = 1 << 11  # hashed counts
 FIT_ROWS = 6_000  # rows with a language that the machines are fitted on, about; the only bound
-FIT_BYTES = 1 << 14  # of a text that the fit looks at; predictions take whole texts
+ALIKE = 0.8  # least cosine between the mean texts of languages that a learned family holds
 UNKNOWN = "und"
-# Language families by ISO 639-1 code; a language not listed is its own family
+# Language families by ISO 639-1 code; languages not listed join the family whose texts are most like theirs
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb fy yi".split(),
     "romance": "fr es it pt ro ca gl oc rm".split(),
@@ -42,8 +43,18 @@ FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes}
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def family(lang: str) -> str:
-    return FAMILY.get(lang, lang)
+def families_of(means: dict[str, np.ndarray]) -> dict[str, str]:
+    """The family of each language, from the mean of its texts.
+
+    Listed languages have the family of the table. The others, by name, join the family with the
+    language most like them, if the cosine is at least ALIKE; else they found one of their own name.
+    """
+    out = {k: FAMILY[k] for k in means if k in FAMILY}
+    unit = {k: m / (np.linalg.norm(m) or 1.0) for k, m in means.items()}
+    for lang in sorted(set(means) - set(out)):
+        near = max(((float(unit[lang] @ unit[k]), k) for k in out), default=(0.0, ""))
+        out[lang] = out[near[1]] if near[0] >= ALIKE else f"like {lang}"
+    return out
 
 
 def counts(text: bytes) -> np.ndarray:
@@ -132,18 +143,18 @@ def fitted(docs: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            x = [counts(t[:FIT_BYTES]).tolist() for t in utf8(b.column(1))]
+            x = [counts(t) for t in utf8(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], ["lang", "x"])
 
     made = taken.select("lang", "text").mapInArrow(run, "lang string, x array<double>")
-    names = sorted(sizes)
-    of = F.create_map(*[F.lit(v) for k in names for v in (k, family(k))]) if names else F.create_map()
-    table = made.select("lang", array_to_vector("x").alias("x"))
-    table = stored(table.withColumn("family", of[F.col("lang")]) if names else table.withColumn("family", F.lit("")))
-    seen = sorted(r.lang for r in table.select("lang").distinct().collect())
-    families = sorted({family(k) for k in seen})
+    table = stored(made.select("lang", array_to_vector("x").alias("x")))
+    means = {r.lang: r.mean.toArray() for r in table.groupBy("lang").agg(Summarizer.mean(F.col("x")).alias("mean")).collect()}
+    family = families_of(means)
+    families = sorted(set(family.values()))
+    of = F.create_map(*[F.lit(v) for kv in family.items() for v in kv]) if family else F.create_map()
+    table = table.withColumn("family", of[F.col("lang")] if family else F.lit(""))
     return Model(_machines(table, "family", families),
-                 {f: _machines(table, "lang", [k for k in seen if family(k) == f]) for f in families})
+                 {f: _machines(table, "lang", sorted(k for k in means if family[k] == f)) for f in families})
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
