@@ -63,21 +63,29 @@ def merges(pairs: DataFrame, method: str = "ward") -> DataFrame:
     return stored(done.select("lo", "hi", height.alias("height"), "size"))
 
 
-def labels(table: DataFrame, entities: DataFrame, k: int) -> DataFrame:
-    """(country, cluster): the clusters left when the n - k lowest merges of `table` are made,
-    numbered from 0 by their smallest names."""
+def labels_at(table: DataFrame, entities: DataFrame, ks: list[int]) -> DataFrame:
+    """(k, country, cluster) for each k: the clusters left when the n - k lowest merges of `table`
+    are made, numbered from 0 by their smallest names."""
     order = Window.partitionBy(F.lit(0)).orderBy("height", "lo", "hi")
     n = table.agg(F.count("*")).scalar() + 1
-    made = table.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n - k)
-    up = stored(entities.select(F.col("country").alias("node")).distinct().join(
-        made.select(F.col("hi").alias("node"), F.col("lo").alias("to")), "node", "left").select("node", F.coalesce("to", "node").alias("to")))
+    tried = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
+    made = table.withColumn("_n", F.row_number().over(order)).select("*", tried).where(F.col("_n") <= n - F.col("k"))
+    up = stored(entities.select(F.col("country").alias("node")).distinct().select("node", tried).join(
+        made.select("k", F.col("hi").alias("node"), F.col("lo").alias("to")), ["k", "node"], "left").select("k", "node", F.coalesce("to", "node").alias("to")))
     while True:
-        step = up.alias("x").join(up.alias("y"), F.col("x.to") == F.col("y.node")).select(F.col("x.node"), F.col("y.to").alias("to"))
-        after = stored(step)
-        if after.join(up, ["node", "to"], "left_anti").isEmpty():
+        x, y = up.alias("x"), up.alias("y")
+        after = stored(x.join(y, (F.col("x.k") == F.col("y.k")) & (F.col("x.to") == F.col("y.node"))).select(
+            "x.k", "x.node", "y.to", (F.col("x.to") != F.col("y.to")).alias("moved")))
+        if after.where("moved").isEmpty():
             break
-        up = after
-    return up.select(F.col("node").alias("country"), (F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy("to")) - 1).cast("int").alias("cluster"))
+        up = after.drop("moved")
+    number = F.dense_rank().over(Window.partitionBy("k").orderBy("to")) - 1
+    return up.select("k", F.col("node").alias("country"), number.cast("int").alias("cluster"))
+
+
+def labels(table: DataFrame, entities: DataFrame, k: int) -> DataFrame:
+    """(country, cluster) at one k."""
+    return labels_at(table, entities, [k]).drop("k")
 
 
 def cophenetic(table: DataFrame) -> DataFrame:
@@ -91,7 +99,7 @@ def cophenetic(table: DataFrame) -> DataFrame:
         longer = a.join(b, F.col("a.to") == F.col("b.node")).select(
             F.col("a.node"), F.col("b.to"), F.greatest("a.height", "b.height").alias("height"))
         after = stored(longer.groupBy("node", "to").agg(F.min("height").alias("height")))
-        if after.count() == reach.count():
+        if after.count() == reach.count():  # no way was left to be added
             break
         reach = after
     x, y = reach.alias("x"), reach.alias("y")

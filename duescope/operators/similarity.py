@@ -193,8 +193,8 @@ def cluster_candidates(zs: DataFrame, k_min: int = 2, k_max: int = 8) -> DataFra
     for method in linkage.METHODS:
         tree = linkage.merges(pairs, method)
         faithful = stored(pairs.limit(1).select(linkage.cophenetic_correlation(tree, pairs).alias("c"))).first()["c"]
-        tagged += [linkage.labels(tree, zs, k).select(
-            F.lit(method).alias("method"), F.lit(k).alias("requested_k"), "country", "cluster", F.lit(faithful).alias("cophenetic")) for k in ks]
+        tagged.append(linkage.labels_at(tree, zs, list(ks)).select(
+            F.lit(method).alias("method"), F.col("k").alias("requested_k"), "country", "cluster", F.lit(faithful).alias("cophenetic")))
     tried = stored(reduce(DataFrame.unionByName, tagged))
     case = ["method", "requested_k"]
     sil = silhouettes(pairs, tried, keys=case)

@@ -16,13 +16,12 @@ from dataclasses import asdict, dataclass, field, replace
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duescope.functions import bands, encoding, weights
 from duescope.operators import evaluate as ev
-from duescope.operators import splits
+from duescope.operators import isotonic, splits
 from duescope.operators.assemble import NOT_FEATURES
 from duescope.storage import stored
 
@@ -133,9 +132,7 @@ class Ensemble:
             slope, shift = float(self.calibrator.coefficients[0]), float(self.calibrator.intercept)
             value = 1 / (1 + F.exp(-(F.col(name) * slope + shift)))
             return df.withColumn(name, value)
-        model = self.calibrator.copy()
-        model.setFeaturesCol(name).setPredictionCol("_cal")
-        fitted = model.transform(df)
+        fitted = self.calibrator.column(df, name, "_cal")
         bounded = F.greatest(F.least("_cal", F.lit(1.0)), F.lit(0.0))
         return fitted.withColumn(name, bounded).drop("_cal")
 
@@ -168,7 +165,8 @@ def fit_ensemble(df: DataFrame, features: list[str], params: TreeParams, n_seeds
 def calibrated(ensemble: Ensemble, val: DataFrame, platt_below: int = 25) -> Ensemble:
     """Platt with few validation positives, isotonic otherwise.
 
-    Equal raw scores are merged into one weighted point; the scores themselves stay exact.
+    Equal raw scores are merged into one weighted point; the scores themselves stay exact. Of an
+    isotonic fit only its steps reach the driver.
     """
     raw = ensemble.raw(val.select("target", *ensemble.features))
     points = stored(raw.groupBy("score", "target").agg(
@@ -178,8 +176,7 @@ def calibrated(ensemble: Ensemble, val: DataFrame, platt_below: int = 25) -> Ens
         ready = VectorAssembler(inputCols=["score"], outputCol="x").transform(points)
         model = LogisticRegression(featuresCol="x", labelCol="target", weightCol="w").fit(ready)
         return replace(ensemble, calibrator=model, kind="platt")
-    model = IsotonicRegression(featuresCol="score", labelCol="target", weightCol="w").fit(points)
-    return replace(ensemble, calibrator=model, kind="isotonic")
+    return replace(ensemble, calibrator=isotonic.fitted(points), kind="isotonic")
 
 
 def size_gate(df: DataFrame, settings: TrainSettings, pool: str = "cluster") -> DataFrame:
@@ -475,7 +472,9 @@ def save_model(model: TrainedModel, path: str) -> None:
     e = model.production
     for i, m in enumerate(e.models):
         m.write().overwrite().save(f"{path}/seed_{i}")
-    if e.calibrator is not None:
+    if e.kind == "isotonic":
+        e.calibrator.save(spark, f"{path}/calibrator")
+    elif e.calibrator is not None:
         e.calibrator.write().overwrite().save(f"{path}/calibrator")
     about = {"name": model.name, "features": e.features, "kind": e.kind, "n_seeds": len(e.models),
              "params": asdict(model.params), "tuned": model.tuned, "rows": model.rows}
@@ -487,12 +486,15 @@ def save_model(model: TrainedModel, path: str) -> None:
 def load_model(spark: SparkSession, path: str) -> TrainedModel:
     """What `save_model` wrote; its scores are those of the saved model. It evaluates as it serves."""
     from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-    from pyspark.ml.regression import IsotonicRegressionModel
 
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
     models = [GBTClassificationModel.load(f"{path}/seed_{i}") for i in range(about["n_seeds"])]
-    loader = {"platt": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}.get(about["kind"])
-    serving = Ensemble(about["features"], models, loader.load(f"{path}/calibrator") if loader else None, about["kind"])
+    calibrator = None
+    if about["kind"] == "isotonic":
+        calibrator = isotonic.load(spark, f"{path}/calibrator")
+    elif about["kind"] == "platt":
+        calibrator = LogisticRegressionModel.load(f"{path}/calibrator")
+    serving = Ensemble(about["features"], models, calibrator, about["kind"])
     return TrainedModel(
         about["name"], serving, serving, TreeParams(**about["params"]), spark.read.parquet(f"{path}/thresholds"),
         spark.read.parquet(f"{path}/report"), about["tuned"], about["rows"])

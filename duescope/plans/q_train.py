@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from duescope.operators import evaluate as ev
-from duescope.operators import contributions, explain, score, splits, train
+from duescope.operators import contributions, explain, isotonic, score, splits, train
 from duescope.plans import fixtures as fx
 from duescope.plans import sqlviews as sv
 from duescope.plans.q_features import labelled, serving, training
@@ -126,6 +126,27 @@ def _(spark, path):
     return ev.calibration_bins(scored).withColumn("calibration", F.lit(fitted.kind))
 
 
+@query("m10_isotonic_steps", uses="lab", spec="mean_target:9 mean_value:9", sql="""
+SELECT country, count(*) AS n, avg(target) AS mean_target, avg(target) AS mean_value, 0 AS falling, 0 AS uncovered
+FROM lab GROUP BY country""")
+def _(spark, path):
+    """A rising fit of the label on the overdue days keeps the label's mean within each step, never
+    falls, and has a step for every row."""
+    rows = panel(spark, path).select("country", F.col("avg_dpd").cast("double").alias("score"), "target").withColumn("w", F.lit(1.0))
+    found = None
+    for r in rows.select("country").distinct().orderBy("country").collect():
+        part = isotonic.steps(rows.where(F.col("country") == r["country"])).withColumn("country", F.lit(r["country"]))
+        found = part if found is None else found.unionByName(part)
+    found = stored(found)
+    kept = F.transform(F.array_sort(F.collect_list(F.struct("lo", "value"))), lambda s: s["value"])
+    falling = (kept != F.array_sort(kept)).cast("int")
+    about = found.groupBy("country").agg(
+        F.sum("weight").alias("covered"), (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("mean_value"), falling.alias("falling"))
+    sizes = rows.groupBy("country").agg(F.count("*").alias("n"), F.avg(F.col("target").cast("double")).alias("mean_target"))
+    return sizes.join(about, "country").select(
+        "country", "n", "mean_target", "mean_value", "falling", (F.col("n") - F.col("covered")).cast("long").alias("uncovered"))
+
+
 @query("m11_production_refit")
 def _(spark, path):
     rows, dev, features = split_and_fit(spark, path)
