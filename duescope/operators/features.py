@@ -23,6 +23,7 @@ from duescope.config import PanelConfig
 from duescope.functions import columns as C
 from duescope.functions import dates as D
 from duescope.operators.calendar import LONGEST_GAP_DAYS, Calendar, open_at, spread
+from duescope.storage import stored
 
 KEY = ["customer_id", "snapshot_date"]
 
@@ -286,6 +287,55 @@ def history_on_spine(events: DataFrame, block: HistoryBlock, spine: DataFrame,
     return block.finished(grouped)
 
 
+def history_in_buckets(events: DataFrame, block: HistoryBlock, spine: DataFrame) -> DataFrame:
+    """`history_on_spine` over an index of months: no row of a spine meets a customer's whole history.
+
+    Events are summed up by customer and month. A spine row takes the running totals of the months
+    before its own, the sums of the months wholly inside a window, and single events only in the
+    months its date and its windows begin or end in. All joins are on customer and month, so the
+    history of one large customer is spread over its months, and what meets is merged.
+    """
+    day, merge = F.col(block.date), {"sum": F.sum, "max": F.max}
+    rows = block.prepared(events).withColumn("_month", F.trunc(day, "MM"))
+    accs = {a.name: a for a in [*block.lifetime, *block.windowed]}
+    months = stored(rows.groupBy("customer_id", "_month").agg(*[a.over() for a in accs.values()]))
+    dates = stored(spine.select(*KEY).distinct().withColumn("_own", F.trunc("snapshot_date", "MM")))
+    last = dates.agg(F.max("_own")).scalar()
+
+    timeline = Window.partitionBy("customer_id").orderBy("_month")
+    so_far = timeline.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = months.select(
+        "customer_id", F.add_months("_month", 1).alias("_from"), F.coalesce(F.lead("_month").over(timeline), last).alias("_to"),
+        *[merge[a.kind](a.name).over(so_far).alias(a.name) for a in block.lifetime])
+    step = F.expr("interval 1 month")
+    known = totals.where(F.col("_from") <= F.col("_to")).withColumn("_own", F.explode(F.sequence("_from", "_to", step)))
+    before = dates.join(known.drop("_from", "_to"), ["customer_id", "_own"])
+
+    starts = {w: F.trunc(F.date_sub("snapshot_date", w), "MM") for w in block.windows}
+    edges = F.array_distinct(F.array("_own", *starts.values()))
+    single = dates.withColumn("_month", F.explode(edges)).join(rows.drop("snapshot_date"), ["customer_id", "_month"]).where(day <= _snapshot())
+    inside = {w: day >= F.date_sub(_snapshot(), w) for w in block.windows}
+    at_edge = {w: (F.col("_month") == F.col("_own")) | (F.col("_month") == starts[w]) for w in block.windows}
+
+    def chosen(a: Acc, condition: Column) -> Column:
+        return F.when(condition if a.where is None else condition & a.where, a.value)
+
+    own = F.col("_month") == F.col("_own")
+    events_at_edges = single.select(
+        *KEY, *[chosen(a, own).alias(a.name) for a in block.lifetime],
+        *[chosen(a, inside[w] & at_edge[w]).alias(f"{a.name}_{w}") for w in block.windows for a in block.windowed])
+
+    widest = F.trunc(F.date_sub("snapshot_date", max(block.windows)), "MM")
+    between = F.sequence(F.add_months(widest, 1), F.add_months("_own", -1), step)
+    spans = dates.where(F.add_months(widest, 1) < F.col("_own")).withColumn("_month", F.explode(between))
+    whole = spans.join(months, ["customer_id", "_month"]).select(
+        *KEY, *[F.when(F.col("_month") > starts[w], F.col(a.name)).alias(f"{a.name}_{w}") for w in block.windows for a in block.windowed])
+
+    parts = before.drop("_own").unionByName(events_at_edges, allowMissingColumns=True).unionByName(whole, allowMissingColumns=True)
+    kinds = {a.name: a.kind for a in block.lifetime} | {f"{a.name}_{w}": a.kind for w in block.windows for a in block.windowed}
+    return block.finished(parts.groupBy(KEY).agg(*[merge[kind](name).alias(name) for name, kind in kinds.items()]))
+
+
 # ---------------------------------------------------------------------------------------
 # Exposure
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from duescope.functions.columns import strip_zeros
+from duescope.storage import stored
 
 
 def one_slice(df: DataFrame, snapshot: dt.date, country: str) -> DataFrame:
@@ -68,6 +69,53 @@ def row_deltas(old: DataFrame, new: DataFrame, keys: list[str], columns: list[st
         for c in shown])
 
 
+BUCKETS = 1024  # of keys; a table of that many rows is what tells two versions apart
+
+
+def _hashed(df: DataFrame, keys: list[str], columns: list[str], buckets: int) -> DataFrame:
+    values = [F.col(c).cast("double") if c in numeric_columns(df) else F.col(c).cast("string") for c in columns]
+    told = [*keys, *[F.coalesce(v.cast("string"), F.lit("")) for v in values], *[v.isNull() for v in values]]
+    return df.select("*", F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"),
+                     F.xxhash64(*told).alias("_h1"), F.xxhash64(F.lit(1), *told).alias("_h2"))
+
+
+def digests(df: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """(_bucket, n, s1, s2): rows and sums of two row hashes for each bucket of keys. It takes one
+    pass and sums before it shuffles, whatever the keys; the order of rows doesn't matter."""
+    total = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
+    return _hashed(df, keys, columns, buckets).groupBy("_bucket").agg(F.count("*").alias("n"), total("_h1").alias("s1"), total("_h2").alias("s2"))
+
+
+def differing_buckets(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """The buckets of keys in which two versions of a table aren't the same rows."""
+    a = digests(old, keys, columns, buckets)
+    b = digests(new, keys, columns, buckets).select("_bucket", *[F.col(c).alias(f"new_{c}") for c in ("n", "s1", "s2")])
+    same = F.col("n").eqNullSafe(F.col("new_n")) & F.col("s1").eqNullSafe(F.col("new_s1")) & F.col("s2").eqNullSafe(F.col("new_s2"))
+    return a.join(b, "_bucket", "full").where(~same).select("_bucket")
+
+
+def changed_rows(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """(keys, change, <column>_delta) of the rows that differ: `changed` with old - new of each
+    numeric column, or rows that only `old` or only `new` has.
+
+    Only rows of buckets whose digests differ are moved and joined, so equal tables join nothing.
+    Keys are unique and not null; null is equal to null.
+    """
+    both = sorted({*old.columns} & {*new.columns} & {*columns}, key=columns.index)
+    apart = stored(differing_buckets(old, new, keys, both, buckets))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rows = _hashed(df, keys, both, buckets).join(apart, "_bucket", "left_semi")
+        return rows.select(*keys, F.struct("_h1", "_h2", *both).alias(name))
+
+    joined = side(old, "o").join(side(new, "n"), keys, "full")
+    o, n = F.col("o"), F.col("n")
+    change = F.when(n.isNull(), "old").when(o.isNull(), "new").otherwise("changed")
+    numbers = [c for c in both if c in shared_numeric(old, new)]
+    return joined.where(o.isNull() | n.isNull() | (o["_h1"] != n["_h1"]) | (o["_h2"] != n["_h2"])).select(
+        *keys, change.alias("change"), *[(o[c].cast("double") - n[c].cast("double")).alias(f"{c}_delta") for c in numbers])
+
+
 def delta_summary(deltas: DataFrame, threshold: float = 0.01) -> DataFrame:
     """(column, average delta, largest absolute delta, rows beyond the threshold)."""
     names = [c for c in deltas.columns if c.endswith("_delta")]
@@ -104,6 +152,13 @@ def stable_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
 
 
+def numbered_sample(df: DataFrame, number: Column, percent: int) -> DataFrame:
+    """The same by integer arithmetic on a whole number that tells rows apart, which any engine can
+    repeat. Null numbers are left out."""
+    spread = F.pmod(F.pmod(number, F.lit(1_000_003)) * 48_271, F.lit(2_147_483_647))
+    return df.filter(F.pmod(spread, F.lit(100)) < percent)
+
+
 def union_results(parts: list[DataFrame]) -> DataFrame:
     """Union by name of per-country results; a column missing in one part is null there."""
     if not parts:

@@ -36,9 +36,11 @@ def fixed_split(df: DataFrame, train_until: dt.date, val_until: dt.date, date: s
     return df.withColumn("role", role)
 
 
-def fold_bounds(df: DataFrame, n_splits: int, gap_days: int = 30, date: str = DATE) -> DataFrame:
+def fold_bounds(df: DataFrame, n_splits: int, gap_days: int = 30, date: str = DATE, to_last: bool = True) -> DataFrame:
     """(fold, train_end, val_start, val_end) over the distinct dates, one row per fold.
 
+    Folds hold equal counts of dates. The last fold validates up to the last date; without
+    `to_last` it ends like the others, one date after its share or at the last date.
     Distinct dates are few (a calendar), so one array holds them.
     """
     dates = df.agg(F.array_sort(F.collect_set(date)).alias("d"))
@@ -50,19 +52,20 @@ def fold_bounds(df: DataFrame, n_splits: int, gap_days: int = 30, date: str = DA
     stop = F.least(F.col("size") * (F.col("fold") + 1) + 1, F.col("n"))
     return folds.select(
         "fold", F.element_at("d", F.col("size") * F.col("fold")).alias("train_end"),
-        F.when(F.col("fold") == n_splits, last)
+        F.when((F.col("fold") == n_splits) & F.lit(to_last), last)
         .otherwise(F.element_at("d", stop)).alias("val_end"),
     ).select(
         "fold", "train_end", F.date_add("train_end", gap_days).alias("val_start"), "val_end")
 
 
 def walk_forward(df: DataFrame, n_splits: int = 5, gap_days: int = 30, date: str = DATE,
-                 label: str = "target") -> DataFrame:
+                 label: str = "target", to_last: bool = True, both_classes: bool = True) -> DataFrame:
     """Rows with (fold, role): train up to the fold's end, val after the embargo.
 
-    Folds without validation rows or with a single class in training are dropped.
+    Folds without validation rows are dropped, and with `both_classes` those with a single class in
+    training.
     """
-    bounds = fold_bounds(df, n_splits, gap_days, date)
+    bounds = fold_bounds(df, n_splits, gap_days, date, to_last)
     table = bounds.agg(F.array_sort(F.collect_list(F.struct(*bounds.columns)))).scalar()
     day = F.col(date)
     placed = (
@@ -77,10 +80,23 @@ def walk_forward(df: DataFrame, n_splits: int = 5, gap_days: int = 30, date: str
         F.count_if(~in_train).alias("val_rows"),
         F.min(F.when(in_train, F.col(label))).alias("lo"),
         F.max(F.when(in_train, F.col(label))).alias("hi"),
-    ).filter((F.col("val_rows") > 0) & (F.col("lo") < F.col("hi")))
+    ).filter((F.col("val_rows") > 0) & ((F.col("lo") < F.col("hi")) | F.lit(not both_classes)))
     return placed.join(usable.select("fold"), "fold", "left_semi")
 
 
+def usable_bounds(df: DataFrame, n_splits: int = 5, gap_days: int = 30, date: str = DATE, label: str = "target",
+                  to_last: bool = True) -> list[tuple[dt.date, dt.date, dt.date]]:
+    """(train_end, val_start, val_end) of the folds `walk_forward` keeps. A fold is then a filter on
+    one stored panel, which isn't multiplied by the folds."""
+    bounds = [(r["train_end"], r["val_start"], r["val_end"]) for r in fold_bounds(df, n_splits, gap_days, date, to_last).orderBy("fold").collect()]
+    if not bounds:
+        return []
+    day, y = F.col(date), F.col(label)
+    found = df.agg(*[c.alias(f"{n}{i}") for i, (end, start, stop) in enumerate(bounds) for n, c in (
+        ("v", F.count_if(day.between(F.lit(start), F.lit(stop)))), ("lo", F.min(F.when(day <= F.lit(end), y))), ("hi", F.max(F.when(day <= F.lit(end), y))))]).first()
+    return [b for i, b in enumerate(bounds) if found[f"v{i}"] and found[f"lo{i}"] is not None and found[f"lo{i}"] < found[f"hi{i}"]]
+
+
 def fold_diagnostics(folds: DataFrame, by: str = "country", label: str = "target",
                      min_rows: int = 30, min_positives: int = 100) -> DataFrame:
     """Rows and positives per fold, role and group, with a sparse flag."""

@@ -442,6 +442,23 @@ def _(spark, path):
         "fold", "customer_id", "snapshot_date", "role")
 
 
+@query("w10_walk_forward_equal_folds", uses="lab", spec="snapshot_date:d", sql="""
+WITH b AS (
+  SELECT fold, d[size * fold] AS train_end, d[size * fold] + 30 AS val_start, d[least(size * (fold + 1) + 1, n)] AS val_end
+  FROM (SELECT list(DISTINCT snapshot_date ORDER BY snapshot_date) AS d,
+    count(DISTINCT snapshot_date) AS n, count(DISTINCT snapshot_date) // 5 AS size FROM lab)
+  CROSS JOIN (SELECT CAST(unnest(range(1, 5)) AS INTEGER) AS fold)
+), f AS (
+  SELECT fold, customer_id, snapshot_date, CASE WHEN snapshot_date <= train_end THEN 'train' ELSE 'val' END AS role
+  FROM lab JOIN b ON snapshot_date <= train_end OR snapshot_date BETWEEN val_start AND val_end
+)
+SELECT * FROM f WHERE fold IN (SELECT fold FROM f WHERE role = 'val')""")
+def _(spark, path):
+    """The older rule: the last fold ends like the others, and one class in training is no reason to drop a fold."""
+    folds = splits.walk_forward(stored(labelled(spark, path)), 4, 30, to_last=False, both_classes=False)
+    return folds.select("fold", "customer_id", "snapshot_date", "role")
+
+
 @query("w16_fold_diagnostics", uses="folds", sql="""
 SELECT fold, role, country, count(*) AS n, count(*) FILTER (target = 1) AS positives,
   CASE WHEN count(*) < 30 OR count(*) FILTER (target = 1) < 100 THEN 1 ELSE 0 END AS sparse

@@ -112,6 +112,14 @@ def _(spark, path):
     return features.history_on_spine(inv, features.behaviour_block(CFG), spine)
 
 
+@query("j02_history_join_buckets", uses="behav", spec=sv.BEHAVIOUR_SPEC, sql="SELECT * FROM behav")
+def _(spark, path):
+    """The same through an index of months, in which no customer's history stays in one place."""
+    inv, cal = panel_of(spark, path)
+    inv = stored(inv)
+    return features.history_in_buckets(inv, features.behaviour_block(CFG), calendar.snapshot_panel(inv, cal))
+
+
 sv.history("paid_365", "inv", "clearing_date", "inv", sv._DAYS, floor=365)
 
 

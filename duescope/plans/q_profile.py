@@ -562,6 +562,39 @@ def _(spark, path):
     return recon.delta_summary(recon.row_deltas(*versions(spark, path), _KEYS, _DELTA_COLUMNS))
 
 
+_CHANGED = [f"{c}_delta" for c in _DELTA_COLUMNS]
+
+
+@query("q04_changed_rows_by_digest", uses="oldp newp", spec="snapshot_date:d " + " ".join(f"{c}:4" for c in _CHANGED), sql=f"""
+SELECT customer_id, snapshot_date, CASE WHEN n.customer_id IS NULL THEN 'old' WHEN o.customer_id IS NULL THEN 'new' ELSE 'changed' END AS change,
+  {', '.join(f'o.{c} - n.{c} AS {c}_delta' for c in _DELTA_COLUMNS)}
+FROM oldp o FULL JOIN newp n USING (customer_id, snapshot_date)
+WHERE n.customer_id IS NULL OR o.customer_id IS NULL OR {' OR '.join(f'o.{c} IS DISTINCT FROM n.{c}' for c in _DELTA_COLUMNS)}""")
+def _(spark, path):
+    old, new = (stored(v) for v in versions(spark, path))
+    return recon.changed_rows(old, new, _KEYS, _DELTA_COLUMNS)
+
+
+@query("q03_digests_of_equal_tables", uses="oldp newp", sql="""
+SELECT (SELECT count(*) FROM oldp) AS n_rows, 0 AS differing_buckets, 0 AS joined_rows""")
+def _(spark, path):
+    """Two copies of a table in different orders have the same digests, and no row is joined."""
+    old = stored(versions(spark, path)[0])
+    again = old.repartition(5, "snapshot_date").orderBy(F.desc("customer_id"))
+    apart = recon.differing_buckets(old, again, _KEYS, _DELTA_COLUMNS)
+    left = recon.changed_rows(old, again, _KEYS, _DELTA_COLUMNS)
+    return old.agg(F.count("*").alias("n_rows"), apart.agg(F.count("*")).scalar().alias("differing_buckets"),
+                   left.agg(F.count("*")).scalar().alias("joined_rows"))
+
+
+@query("t04_deterministic_sample_by_number", uses="lab", sql="""
+SELECT country, count(*) AS n FROM lab
+WHERE (CAST(customer_id AS BIGINT) % 1000003) * 48271 % 2147483647 % 100 < 10 GROUP BY country""")
+def _(spark, path):
+    rows = recon.numbered_sample(labelled(spark, path), F.col("customer_id").cast("bigint"), 10)
+    return rows.groupBy("country").agg(F.count("*").alias("n"))
+
+
 @query("j11_reconciliation_join", uses="oldp newp", spec="snapshot_date:d", sql="""
 SELECT customer_id, snapshot_date, o.max_dpd AS old_dpd, n.max_dpd AS new_dpd
 FROM oldp o JOIN newp n USING (customer_id, snapshot_date)""")

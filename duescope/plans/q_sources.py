@@ -100,6 +100,15 @@ def _(spark, path):
     return view.source_aware_items(fx.raw_view(spark, path), CFG)
 
 
+@query("s06_source_aware_scan_pruned", uses="typed", spec=_VIEW_SPEC, sql=f"""
+SELECT * REPLACE (upper(substr(company_code, 1, 2)) AS country) FROM typed WHERE {_AWARE}""")
+def _(spark, path):
+    """The same rows from a view stored in two parts, open and by month of settlement."""
+    target = new_path(spark, "settled")
+    view.store_settled(fx.raw_view(spark, path), CFG, target)
+    return view.settled_items(spark, target, CFG)
+
+
 @query("s07_single_country_scan", uses="typed", spec=_VIEW_SPEC, sql="""
 SELECT * REPLACE (upper(substr(company_code, 1, 2)) AS country) FROM typed
 WHERE upper(substr(company_code, 1, 2)) = 'CD'""")

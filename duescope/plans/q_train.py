@@ -91,6 +91,24 @@ def _(spark, path):
     return train.search(folds, train.feature_list(rows), tried, penalty=1.0)
 
 
+@query("m06_successive_halving", uses="lab", sql="""
+SELECT rung, rounds, tried, 2 AS folds, survive, 0 AS better_dropped, 0 AS beyond_penalty, 1 AS has_rows
+FROM (VALUES (0, 2, 8, 4), (1, 4, 4, 2), (2, 8, 2, 1), (3, 16, 1, 1)) t(rung, rounds, tried, survive)
+WHERE (SELECT count(*) FROM lab) > 0""")
+def _(spark, path):
+    """Eight candidates, half of them with twice the rounds each time; none is dropped for a worse one."""
+    rows = panel(spark, path)
+    bounds = splits.usable_bounds(rows, 2, 30)
+    found = stored(train.halving(rows, bounds, train.feature_list(rows), train.candidates("small", 8, max_iter=16), penalty=1.0))
+    keep = F.col("survives")
+    least, most = F.min(F.when(keep, F.col("objective"))), F.max(F.when(~keep, F.col("objective")))
+    return found.groupBy("rung").agg(
+        F.max("rounds").alias("rounds"), F.count("*").cast("int").alias("tried"), F.max("folds").alias("folds"), F.count_if(keep).cast("int").alias("survive"),
+        F.coalesce((most > least).cast("int"), F.lit(0)).alias("better_dropped"),
+        F.count_if(F.abs(F.col("objective") - (F.col("mean") - F.col("spread"))) > 1e-9).cast("int").alias("beyond_penalty"),
+        F.lit(int(rows.limit(1).count())).alias("has_rows"))
+
+
 @query("m07_feature_selection")
 def _(spark, path):
     _rows, dev, features = split_and_fit(spark, path)
@@ -127,24 +145,19 @@ def _(spark, path):
 
 
 @query("m10_isotonic_steps", uses="lab", spec="mean_target:9 mean_value:9", sql="""
-SELECT country, count(*) AS n, avg(target) AS mean_target, avg(target) AS mean_value, 0 AS falling, 0 AS uncovered
-FROM lab GROUP BY country""")
+SELECT count(*) AS n, avg(target) AS mean_target, avg(target) AS mean_value, 0 AS falling, 0 AS uncovered FROM lab""")
 def _(spark, path):
-    """A rising fit of the label on the overdue days keeps the label's mean within each step, never
-    falls, and has a step for every row."""
-    rows = panel(spark, path).select("country", F.col("avg_dpd").cast("double").alias("score"), "target").withColumn("w", F.lit(1.0))
-    found = None
-    for r in rows.select("country").distinct().orderBy("country").collect():
-        part = isotonic.steps(rows.where(F.col("country") == r["country"])).withColumn("country", F.lit(r["country"]))
-        found = part if found is None else found.unionByName(part)
-    found = stored(found)
+    """A rising fit of the label on the overdue days keeps the label's mean, never falls, and has a
+    step for every row."""
+    rows = stored(panel(spark, path).select(F.col("avg_dpd").cast("double").alias("score"), "target").withColumn("w", F.lit(1.0)))
+    found = isotonic.steps(rows)
     kept = F.transform(F.array_sort(F.collect_list(F.struct("lo", "value"))), lambda s: s["value"])
-    falling = (kept != F.array_sort(kept)).cast("int")
-    about = found.groupBy("country").agg(
-        F.sum("weight").alias("covered"), (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("mean_value"), falling.alias("falling"))
-    sizes = rows.groupBy("country").agg(F.count("*").alias("n"), F.avg(F.col("target").cast("double")).alias("mean_target"))
-    return sizes.join(about, "country").select(
-        "country", "n", "mean_target", "mean_value", "falling", (F.col("n") - F.col("covered")).cast("long").alias("uncovered"))
+    about = found.agg(F.sum("weight").alias("covered"), (F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("mean_value"),
+                      (kept != F.array_sort(kept)).cast("int").alias("falling"))
+    n = F.count("*")
+    return about.select(
+        rows.agg(n).scalar().alias("n"), rows.agg(F.avg(F.col("target").cast("double"))).scalar().alias("mean_target"), "mean_value", "falling",
+        (rows.agg(n).scalar() - F.col("covered")).cast("long").alias("uncovered"))
 
 
 @query("m11_production_refit")

@@ -77,6 +77,29 @@ def clean_items(spark: SparkSession, path: str, cfg: PanelConfig, mode: str,
     return within_lookback(items, cfg) if mode == "train" else items
 
 
+def store_settled(raw: DataFrame, cfg: PanelConfig, path: str) -> None:
+    """The typed view in two parts: open items, and cleared ones by the month they settled in (that
+    of the clearing, or of the baseline where it is missing)."""
+    clean = with_country(typed_view(raw), cfg)
+    settled = F.when(F.col("source") == OPEN, "open").otherwise(F.date_format(F.coalesce("clearing_date", "baseline_date"), "yyyy-MM"))
+    # a month of any size is written by several tasks
+    (clean.withColumn("settled", settled)
+     .repartition("settled", F.pmod(F.xxhash64("customer_id", "invoice_id"), F.lit(4)))
+     .sortWithinPartitions("settled", "country", "customer_id")
+     .write.partitionBy("settled").mode("overwrite").parquet(path))
+
+
+def settled_items(spark: SparkSession, path: str, cfg: PanelConfig, countries: list[str] | None = None) -> DataFrame:
+    """`source_aware_items` over what `store_settled` wrote: the open part and the months that can
+    lie inside the lookback, nothing else is read."""
+    items = spark.read.option("mergeSchema", "false").parquet(path)
+    if cfg.lookback_days is not None:
+        floor = cfg.anchor - dt.timedelta(days=cfg.lookback_days)
+        month = F.col("settled")  # folder names stay text: "open" is among them
+        items = items.filter((month == "open") | (month >= floor.strftime("%Y-%m")))
+    return source_aware_lookback(only_countries(items.drop("settled"), countries), cfg)
+
+
 def view_items(raw: DataFrame, cfg: PanelConfig) -> DataFrame:
     return within_lookback(typed_view(raw), cfg)
 

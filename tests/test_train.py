@@ -75,3 +75,36 @@ def test_search_prefers_the_better_candidate(spark, panel):
 def test_candidates_are_repeatable():
     assert train.candidates("small", 3, 5) == train.candidates("small", 3, 5)
     assert all(p.max_depth <= 3 for p in train.candidates("small", 20, 5))
+
+
+def test_rungs_halve_candidates_and_double_rounds():
+    assert train.rungs(8, 16) == [(8, 2), (4, 4), (2, 8), (1, 16)]
+    assert train.rungs(1, 500) == [(1, 500)]
+    full = train.rungs(120, 500)
+    assert [n for n, _ in full] == [120, 60, 30, 15, 8, 4, 2, 1] and full[-1][1] == 500
+    assert sum(n * r for n, r in full) < 12 * 500
+
+
+def test_halving_keeps_the_better_half(spark, panel):
+    from duescope.operators import splits
+
+    bounds = splits.usable_bounds(panel, 2, 30)
+    kept = splits.walk_forward(panel, 2, 30).select("fold").distinct().count()
+    assert len(bounds) == kept == 2
+    blind = replace(train.CONSERVATIVE, max_iter=4, min_rows_per_node=10**9)
+    tried = [blind, replace(train.CONSERVATIVE, max_iter=4), blind]
+    found = train.halving(panel, bounds, ["signal", "noise"], tried, 0.5).collect()
+    assert [(r.rung, r.rounds) for r in found] == [(0, 2)] * 3 + [(1, 2)] * 2 + [(2, 4)]
+    assert found[-1].candidate == 1 and sum(r.survives for r in found if r.rung == 0) == 2
+
+
+def test_composite_objective_by_hand(spark):
+    """Average precision, F2 at one half, and recall in the best fifth, counted out."""
+    scores = [0.95, 0.9, 0.8, 0.7, 0.6, 0.4, 0.3, 0.2, 0.1, 0.05]
+    labels = [1, 0, 1, 1, 0, 1, 0, 0, 0, 0]
+    rows = spark.createDataFrame(list(zip(labels, scores)), "label int, score double")
+    precision = (1 / 1 + 2 / 3 + 3 / 4 + 4 / 6) / 4
+    p, r = 3 / 5, 3 / 4
+    f2, top = 5 * p * r / (4 * p + r), 1 / 4
+    assert abs(train.composite(rows) - (0.5 * precision + 0.3 * f2 + 0.2 * top)) < 1e-9
+    assert train.composite(rows, None) != train.composite(rows)
