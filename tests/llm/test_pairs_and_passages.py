@@ -91,8 +91,23 @@ def jaccard(a, b):
     return len(sets[0] & sets[1]) / max(1, len(sets[0] | sets[1]))
 
 
-@pytest.mark.parametrize("crowd", [1, 8])
-def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark, crowd):
+def found_components(rows, alike):
+    """The smallest id of each component of rows (id, text) whose pairs are `alike`."""
+    linked = {i: i for i, _ in rows}
+
+    def find(x):
+        while linked[x] != x:
+            x = linked[x]
+        return x
+    for n, (i, a) in enumerate(rows):
+        for j, b in rows[n + 1:]:
+            if find(i) != find(j) and alike(i, j) and jaccard(a, b) >= 0.8:
+                linked[max(find(i), find(j))] = min(find(i), find(j))
+    return {find(i) for i, _ in rows}
+
+
+@pytest.mark.parametrize("tile, leaders", [(1, 1), (3, 2), (512, 4)])
+def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark, tile, leaders):
     """Copies with words replaced at even distances: most are more than 3 bits of a SimHash apart."""
     import random
     rng, rows = random.Random(3), []
@@ -105,20 +120,55 @@ def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark
             rows.append((100 * g + k, " ".join(v)))
         far = [x if i % 8 else f"y{g}.{i}" for i, x in enumerate(w)]
         rows.append((100 * g + 50, " ".join(far)))
-    linked = {i: i for i, _ in rows}
+    want = found_components(rows, lambda i, j: i // 100 == j // 100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()} == want
+
+
+@pytest.mark.parametrize("tile, leaders", [(8, 1), (512, 4)])
+def test_a_text_similar_to_one_member_of_a_crowd_only_stays_linked(spark, tile, leaders):
+    """Families of an original, thirty copies of it, and a text at 0.8125 to the original but under
+    0.8 to each copy: the family is one component through the original."""
+    rows = []
+    for g in range(60):
+        w = [f"w{g}.{i}" for i in range(62)]
+        rows += [(1000 * g + k, " ".join([*w[:-1], f"c{g}.{k}"])) for k in range(30)]
+        rows += [(1000 * g + 30, " ".join(w)), (1000 * g + 31, " ".join([f"q{g}.{i}" for i in range(6)] + w[6:]))]
+    assert 0.8 <= jaccard(rows[30][1], rows[31][1]) < 0.82 and jaccard(rows[0][1], rows[31][1]) < 0.8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {1000 * g for g in range(60)}
+    assert want == found_components(rows, lambda i, j: i // 1000 == j // 1000)
+    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()} == want
 
-    def find(x):
-        while linked[x] != x:
-            x = linked[x]
-        return x
-    for i, a in rows:
-        for j, b in rows:
-            if i < j and i // 100 == j // 100 and jaccard(a, b) >= 0.8:
-                linked[max(find(i), find(j))] = min(find(i), find(j))
-    want = {find(i) for i, _ in rows}
+
+@pytest.mark.parametrize("tile, leaders", [(40, 1), (512, 4)])
+def test_a_crowd_around_four_fifths_splits_as_brute_force_splits_it(spark, tile, leaders):
+    """Hundreds of copies of one text, each with words of its own, at 0.6 to 1 to each other."""
+    import random
+    rng = random.Random(11)
+    w = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(300):
+        v = list(w)
+        for j in range(rng.randrange(5)):
+            v[rng.randrange(len(v))] = f"x{k}.{j}"
+        rows.append((k, " ".join(v)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id for r in nearcopies.one_of_each(docs, crowd).collect()} == want
-    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()} == want
+    got = {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()}
+    assert got == found_components(rows, lambda i, j: True)
+
+
+def test_rows_equal_in_id_and_text_leave_one_by_their_other_columns(spark):
+    rows = [(1, "one two three four five six", s) for s in ("b", "a", "b", None)] + [(2, "one two three four five six", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in nearcopies.one_of_each(docs).collect()]
+    assert len(kept) == 1 and kept[0][0] == 1
+    assert kept == [tuple(r) for r in nearcopies.one_of_each(docs.repartition(3, "source")).collect()]
+
+
+def test_the_pipeline_stage_is_the_operator(spark, docs):
+    kept = lambda df: sorted((str(tuple(r)) for r in df.collect()))
+    assert kept(corpus_pipeline.near_duplicate_stage(spark, docs, "")) == kept(nearcopies.one_of_each(docs))
 
 
 def test_near_duplicate_stage_takes_awkward_rows(spark, docs, empty):
