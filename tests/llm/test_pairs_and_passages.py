@@ -106,8 +106,8 @@ def found_components(rows, alike):
     return {find(i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("tile, leaders", [(1, 1), (3, 2), (512, 4)])
-def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark, tile, leaders):
+@pytest.mark.parametrize("tile, early, many", [(3, 0, 2), (2048, 2, 16_384)])
+def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark, tile, early, many):
     """Copies with words replaced at even distances: most are more than 3 bits of a SimHash apart."""
     import random
     rng, rows = random.Random(3), []
@@ -122,11 +122,11 @@ def test_near_duplicate_stage_keeps_one_of_texts_at_similarity_four_fifths(spark
         rows.append((100 * g + 50, " ".join(far)))
     want = found_components(rows, lambda i, j: i // 100 == j // 100)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()} == want
+    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, early, many).collect()} == want
 
 
-@pytest.mark.parametrize("tile, leaders", [(8, 1), (512, 4)])
-def test_a_text_similar_to_one_member_of_a_crowd_only_stays_linked(spark, tile, leaders):
+@pytest.mark.parametrize("tile, early, many", [(8, 1, 4), (2048, 2, 16_384)])
+def test_a_text_similar_to_one_member_of_a_crowd_only_stays_linked(spark, tile, early, many):
     """Families of an original, thirty copies of it, and a text at 0.8125 to the original but under
     0.8 to each copy: the family is one component through the original."""
     rows = []
@@ -138,11 +138,11 @@ def test_a_text_similar_to_one_member_of_a_crowd_only_stays_linked(spark, tile,
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = {1000 * g for g in range(60)}
     assert want == found_components(rows, lambda i, j: i // 1000 == j // 1000)
-    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()} == want
+    assert {r.doc_id for r in nearcopies.one_of_each(docs, tile, early, many).collect()} == want
 
 
-@pytest.mark.parametrize("tile, leaders", [(40, 1), (512, 4)])
-def test_a_crowd_around_four_fifths_splits_as_brute_force_splits_it(spark, tile, leaders):
+@pytest.mark.parametrize("tile, early, many", [(40, 3, 16_384), (2048, 2, 16_384)])
+def test_a_crowd_around_four_fifths_splits_as_brute_force_splits_it(spark, tile, early, many):
     """Hundreds of copies of one text, each with words of its own, at 0.6 to 1 to each other."""
     import random
     rng = random.Random(11)
@@ -154,7 +154,7 @@ def test_a_crowd_around_four_fifths_splits_as_brute_force_splits_it(spark, tile,
             v[rng.randrange(len(v))] = f"x{k}.{j}"
         rows.append((k, " ".join(v)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id for r in nearcopies.one_of_each(docs, tile, leaders).collect()}
+    got = {r.doc_id for r in nearcopies.one_of_each(docs, tile, early, many).collect()}
     assert got == found_components(rows, lambda i, j: True)
 
 
