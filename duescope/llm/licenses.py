@@ -96,11 +96,16 @@ def spans(found: DataFrame) -> DataFrame:
     votes = votes.withColumns({"first": F.col("diagonal") + F.col("lo"), "last": F.col("diagonal") + F.col("hi") + (K - 1)})
     whole = votes.where(F.col("base") & (F.col("votes") == F.col("size") - (K - 1))).select(
         "row_key", "label", "base", "first", "last", F.lit(1.0).alias("cover"))
-    order = Window.partitionBy("row_key", "template").orderBy("first", "diagonal")
-    far = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > SLACK) | (F.col("first") - F.lag("last").over(order) > GAP)
-    groups = votes.where(~F.col("base")).withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
+    # diagonals within SLACK of the next one are a band, whatever stray diagonals start between them
+    beside = Window.partitionBy("row_key", "template").orderBy("diagonal")
+    apart = F.col("diagonal") - F.lag("diagonal").over(beside) > SLACK
+    bands = votes.where(~F.col("base")).withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
+    bands = bands.withColumn("band", F.sum("new").over(beside.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy("row_key", "template", "band").orderBy("first", "diagonal")
+    far = F.col("first") - F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)) > GAP
+    groups = bands.withColumn("new", F.coalesce(far, F.lit(True)).cast("int"))
     groups = groups.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = groups.groupBy("row_key", "template", "label", "base", "size", "run").agg(
+    merged = groups.groupBy("row_key", "template", "label", "base", "size", "band", "run").agg(
         F.min("first").alias("first"), F.max("last").alias("last"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("ats"))
     merged = merged.withColumn("covered", spread_words(F.col("ats"), K))

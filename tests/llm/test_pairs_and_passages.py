@@ -253,6 +253,29 @@ def test_license_labels_need_a_verified_span(spark):
     assert got[0][1] == 1.0 and got[5][1] == 0.0 and 0.7 <= got[6][1] < 1.0
 
 
+def test_license_spans_with_a_word_inserted_anywhere(spark):
+    """The two halves lie on neighbouring diagonals; a half shorter than a triple is not part of the span."""
+    docs, want = [], {}
+    for label, text in licenses.TEMPLATES:
+        w = WORD.findall(low(text))
+        for at in range(1, len(w)) if len(w) >= 14 else ():
+            lost = [n if n < licenses.K else 0 for n in (at, len(w) - at)]
+            want[len(docs)] = (label, 4 + (at + 1 if lost[0] else 0), 4 + (at - 1 if lost[1] else len(w)), (len(w) - sum(lost)) / len(w))
+            docs.append((len(docs), " ".join(["four", "words", "stand", "before", *w[:at], "zebra", *w[at:], "and", "after"])))
+    assert len(docs) > 150
+    got = {r.doc_id: [(s.label, s.first, s.last, s.cover) for s in r.spans or []]
+           for r in licenses.scanned(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [i for i, span in want.items() if span not in got[i]] == []
+
+
+def test_license_spans_past_strays(spark):
+    """Words of the template on other diagonals stand between its halves."""
+    made = spark.createDataFrame(
+        [(1, 5, "x", False, 12, at, d) for d, ats in ((100, range(5)), (101, range(5, 10)), (40, [7, 8]), (160, [0])) for at in ats],
+        "row_key long, template int, label string, base boolean, size int, at int, diagonal int")
+    assert [tuple(r) for r in licenses.spans(made).select("first", "last", "cover").collect()] == [(100, 112, 1.0)]
+
+
 def test_kelvin_sign_is_no_letter_k(spark):
     docs = spark.createDataFrame([(1, "under the mit license"), (2, "under the Kmit license"), (3, "K")], "doc_id long, text string")
     assert {r.doc_id: (r.n_base, r.n_words) for r in licenses.scanned(docs).collect()} == {1: (1, 4), 2: (0, 4), 3: (0, 1)}
